@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,14 @@ def whole_seconds(ts: Column) -> Column:
 def sql_list(values) -> Column:
     """A constant array column."""
     return F.array(*[F.lit(v) for v in values])
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters and projections reuse instead of inlining.
+
+    The optimizer replaces a column by its expression when it pushes a filter
+    down. For a long rule chain over a parsed document that repeats the parsing
+    once per rule. A one-row generator keeps the value as it is, inside codegen.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
