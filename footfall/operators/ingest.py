@@ -69,9 +69,15 @@ def quarantine_key(source_key: Column, whole_file: Column) -> Column:
 
 
 def file_summary(
-    verdicts: DataFrame, size: Column, max_invalid_ratio: float = MAX_INVALID_RATIO
+    verdicts: DataFrame,
+    size: Column,
+    max_invalid_ratio: float = MAX_INVALID_RATIO,
+    **extra: Column,
 ) -> DataFrame:
-    """One row per file: size, counts, ratio, counts per type, verdict on the file."""
+    """One row per file: size, counts, ratio, counts per type, verdict on the file.
+
+    ``size`` and ``extra`` are aggregates over the lines of a file.
+    """
     by_type = [
         F.count_if(F.col("is_valid") & (F.col("event_type") == kind)).alias(kind)
         for kind in EVENT_TYPES
@@ -81,6 +87,7 @@ def file_summary(
         F.count_if("is_valid").alias("records_valid"),
         F.count_if(~F.col("is_valid")).alias("records_invalid"),
         *by_type,
+        *[value.alias(name) for name, value in extra.items()],
     )
     invalid = F.col("records_invalid")
     total = F.col("records_valid") + invalid
@@ -99,6 +106,7 @@ def file_summary(
         F.when(invalid > 0, quarantine_key(F.col("source_key"), corrupt)).alias("quarantine_key"),
         F.when(corrupt, F.lit(WHOLE_FILE_COUNT)).otherwise(invalid).alias("quarantine_count"),
         F.when(corrupt, WHOLE_FILE_REASON).alias("quarantine_reason"),
+        *extra,
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _databases: dict[str, str] = {}
+_local_folders: dict[str, str] = {}
 _scope: ContextVar[list[str] | None] = ContextVar("footfall_staging_scope", default=None)
 
 
@@ -27,7 +28,15 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"{_CHECKPOINT_DIR} must name a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="footfall-")
+    app = spark.conf.get("spark.app.id")
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="footfall-")
+    return _local_folders[app]
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new, unused path in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
 
 
 def _database(spark: SparkSession) -> str:

@@ -17,12 +17,14 @@ log = logging.getLogger(__name__)
 ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arrivals(spark: SparkSession, base: str, files_per_batch: int = 1000) -> DataFrame:
-    """Paths and sizes of new ``*.jsonl`` files below ``base``; contents are not read."""
+def arrivals(
+    spark: SparkSession, base: str, pattern: str = "*.jsonl", files_per_batch: int = 1000
+) -> DataFrame:
+    """Paths and sizes of new event files below ``base``; contents are not read."""
     return (
         spark.readStream.format("binaryFile")
         .schema(ARRIVAL_SCHEMA)
-        .option("pathGlobFilter", "*.jsonl")
+        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(base)
@@ -52,14 +54,16 @@ def start_ingest(
     checkpoint: str,
     source: str = "landing",
     max_invalid_ratio: float = MAX_INVALID_RATIO,
+    pattern: str = "*.jsonl",
     files_per_batch: int = 1000,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the ingest stream.
 
-    A batch is ingested as one Spark job over its files. If it fails, its files
-    are tried one by one; those that fail again are recorded as errors and do not
-    stop the others. Only the names of one batch's files, at most
+    A batch is ingested as one Spark job over its files. If that fails, files
+    that cannot be read are recorded as errors and the rest is ingested; a
+    failure that is not a file's fault stops the stream, which repeats the batch
+    when it is started again. Only the names of one batch's files, at most
     ``files_per_batch``, reach the driver.
     """
     targets = IngestTargets.under(output)
@@ -68,26 +72,31 @@ def start_ingest(
         lines = read_lines(spark, paths, root)
         ingest_lines(lines, targets, source, batch, max_invalid_ratio)
 
+    def is_readable(path: str) -> bool:
+        try:
+            read_lines(spark, path, root).write.format("noop").mode("overwrite").save()
+        except Exception:
+            log.exception("could not read %s", path)
+            return False
+        return True
+
     def on_batch(files: DataFrame, batch_id: int) -> None:
-        paths = [row.path for row in files.select("path").collect()]
+        paths, batch = [row.path for row in files.select("path").collect()], str(batch_id)
         if not paths:
             return
         try:
-            ingest(paths, str(batch_id))
+            ingest(paths, batch)
         except Exception:
-            log.exception("batch %s failed, trying its files one by one", batch_id)
-            failed = []
-            for number, path in enumerate(sorted(paths)):
-                try:
-                    ingest([path], f"{batch_id}-{number}")
-                except Exception:
-                    log.exception("could not ingest %s", path)
-                    failed.append(path)
-            if failed:
-                _write_failures(spark, failed, root, targets, str(batch_id))
+            readable = [p for p in paths if is_readable(p)]
+            failed = sorted(set(paths) - set(readable))
+            if not failed:
+                raise
+            if readable:
+                ingest(readable, batch)
+            _write_failures(spark, failed, root, targets, batch)
 
     writer = (
-        arrivals(spark, base, files_per_batch)
+        arrivals(spark, base, pattern, files_per_batch)
         .writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
     )
