@@ -19,7 +19,7 @@ from footfall.plans.load import load_metric
 from footfall.session import configure
 from footfall.sources import shop_tables as shop
 from footfall.sources.events import on_day, read_event_days, write_event_days
-from footfall.sources.metric_store import read_days, table_path, write_days
+from footfall.sources.metric_store import read_days, read_metric, table_path, write_days
 from footfall.sources.staging import scratch_path, stage
 from footfall.streaming.arrivals import start_ingest
 
@@ -155,14 +155,14 @@ def daily_batch(spark, folder):
     """The whole batch written and read back: rows of every metric table."""
     base = scratch_path(spark, "metrics")
     run_daily(_events(spark, folder), base, options=METRIC_OPTIONS)
-    tables = {name: read_days(spark, table_path(base, name)) for name in METRICS}
+    tables = {name: read_metric(spark, base, name) for name in METRICS}
     return profile.metric_row_counts(tables)
 
 
 def output_check(spark, folder):
     base = scratch_path(spark, "metrics")
     run_daily(_events(spark, folder), base, options=METRIC_OPTIONS)
-    tables = {name: read_days(spark, table_path(base, name), REPORT_DAY) for name in METRICS}
+    tables = {name: read_metric(spark, base, name, REPORT_DAY) for name in METRICS}
     return profile.metric_row_counts(tables)
 
 
@@ -264,12 +264,18 @@ def arrival_ingest(spark, folder):
 
 
 # --- quality and warehouse --------------------------------------------------------
+def _stored_facts(spark, folder, names):
+    """Facts of metrics the daily batch wrote: events are cleaned once for all."""
+    base = scratch_path(spark, "metrics")
+    run_daily(_events(spark, folder), base, metrics=names, options=METRIC_OPTIONS)
+    return {name: warehouse.to_fact(name, read_metric(spark, base, name)) for name in names}
+
+
 def dq_outcomes(spark, folder):
-    frames = [
-        dq.evaluate(stage(_fact(spark, folder, name), "fact"), rules, f"dq_{name}")
-        for name, rules in rulesets.FULL_RULES.items()
-    ]
-    return warehouse.union_all(frames)
+    facts = _stored_facts(spark, folder, list(rulesets.FULL_RULES))
+    return warehouse.union_all(
+        [dq.evaluate(df, rulesets.FULL_RULES[name], f"dq_{name}") for name, df in facts.items()]
+    )
 
 
 def dq_outcomes_lineitem(spark, folder):
@@ -298,15 +304,14 @@ def dq_failing_rows(spark, folder):
 
 
 def unique_key_check(spark, folder):
-    frames = [
-        dq.evaluate(
-            stage(_fact(spark, folder, name), "fact"),
-            [*[r for r in rulesets.CONSTRAINTS[name] if r.keys], *rulesets.COMMON_RULES],
-            name,
-        )
-        for name in ("bounce_rate", "funnel", "device_country")
-    ]
-    return warehouse.union_all(frames)
+    facts = _stored_facts(spark, folder, ["bounce_rate", "funnel", "device_country"])
+    rules = {
+        name: [*[r for r in rulesets.CONSTRAINTS[name] if r.keys], *rulesets.COMMON_RULES]
+        for name in facts
+    }
+    return warehouse.union_all(
+        [dq.evaluate(df, rules[name], name) for name, df in facts.items()]
+    )
 
 
 def change_schema(spark, folder):

@@ -16,7 +16,7 @@ from footfall.operators.warehouse import (
 )
 from footfall.sources.events import ALL_DAYS
 from footfall.sources.jdbc import write_jdbc
-from footfall.sources.metric_store import REPLACE_DAYS, read_days, table_path, write_days
+from footfall.sources.metric_store import REPLACE_DAYS, read_metric, table_path, write_days
 
 log = logging.getLogger(__name__)
 
@@ -39,7 +39,7 @@ def load_metric(
     A failed rule raises before anything is written. With ``jdbc`` the rows go to
     a database table instead of the Parquet facts.
     """
-    source = read_days(spark, table_path(metrics_base, metric), run_date)
+    source = read_metric(spark, metrics_base, metric, run_date)
     if source.isEmpty():
         log.warning("%s: nothing for %s", metric, run_date)
         return False

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.operators.metrics import METRIC_SCHEMAS
 from footfall.sources.events import parse_day
 
 REPLACE_DAYS, REPLACE_ALL, APPEND = "replace_days", "replace_all", "append"
@@ -33,12 +34,23 @@ def write_days(df: DataFrame, path: str, mode: str = REPLACE_DAYS) -> None:
     )
 
 
-def read_days(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
+def read_days(
+    spark: SparkSession, path: str, run_date: str | None = None, schema: str | None = None
+) -> DataFrame:
     """A table of all days, or of one: the day prunes folders before any read.
 
-    ``dt`` comes from the folder names.
+    ``dt`` comes from the folder names. With ``schema`` no file is opened for its
+    types, and a table that has no row yet reads as empty.
     """
-    df = spark.read.parquet(path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
     df = df.withColumn("dt", F.col("dt").cast("date"))
     day = parse_day(run_date)
     return df if day is None else df.filter(F.col("dt") == F.lit(day))
+
+
+def read_metric(
+    spark: SparkSession, base: str, metric: str, run_date: str | None = None
+) -> DataFrame:
+    """One of the seven metric tables below ``base``."""
+    return read_days(spark, table_path(base, metric), run_date, METRIC_SCHEMAS[metric])
