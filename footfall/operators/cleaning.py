@@ -11,42 +11,50 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import is_event
 from footfall.schema import UNKNOWN
 from footfall.sources.staging import stage
 
+COPIES = "copies"
 _FIRST = "__first"
 _MODAL = "__modal_device"
 _MEDIAN = "__median_time"
 
 
-def _collapse_copies(df: DataFrame, copies: str) -> DataFrame:
+def _collapse_copies(df: DataFrame, copies: Column) -> DataFrame:
     # A minimum over a struct is combined inside each map task, so an event_id
     # with very many copies sends one row per task through the shuffle. The
     # struct starts with event_ts (NULL sorts first); the other columns break ties.
     payload = [c for c in df.columns if c not in ("event_id", "event_ts")]
     first = F.min(F.struct("event_ts", *payload)).alias(_FIRST)
-    grouped = df.groupBy("event_id").agg(first, F.count(F.lit(1)).alias(copies))
+    grouped = df.groupBy("event_id").agg(first, copies.alias(COPIES))
     fields = [F.col("event_id") if c == "event_id" else F.col(_FIRST)[c].alias(c) for c in df.columns]
-    return grouped.select(*fields, copies)
+    return grouped.select(*fields, COPIES)
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
     """One row per non-NULL ``event_id``: the earliest by ``event_ts``."""
     present = df.filter(F.col("event_id").isNotNull())
-    return _collapse_copies(present, "copies").drop("copies")
+    return _collapse_copies(present, F.count(F.lit(1))).drop(COPIES)
 
 
-def count_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
-    """Deduplicated rows with the number of raw rows behind each.
+def count_copies(df: DataFrame) -> DataFrame:
+    """Deduplicated rows with ``copies``, the number of raw rows behind each.
 
-    Rows without an id stay as one row with NULL ``event_id``, so the sum of
-    ``copies`` is the raw row count; filter them out before use.
+    Rows without an id stay as one row whose ``copies`` is negative: the sum of
+    the absolute values is the raw row count, and ``with_ids`` filters on this
+    small column instead of the ids themselves.
     """
-    return _collapse_copies(df, copies)
+    sign = F.when(F.col("event_id").isNull(), -1).otherwise(1)
+    return _collapse_copies(df, F.sum(sign))
+
+
+def with_ids(counted: DataFrame) -> DataFrame:
+    """The deduplicated events of ``count_copies``."""
+    return counted.filter(F.col(COPIES) > 0).drop(COPIES)
 
 
 def impute_country(df: DataFrame) -> DataFrame:

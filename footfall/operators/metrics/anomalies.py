@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.columns import is_event, whole_seconds
+from footfall.functions.columns import computed_once, is_event, whole_seconds
 from footfall.sources.staging import stage
 
 COLUMNS = ("event_type", "session_id", "user_id", "event_ts", "dt", "page_url")
@@ -79,9 +79,10 @@ def _z_columns(df: DataFrame) -> DataFrame:
         mean, std = F.col(f"mean_{f}"), F.col(f"std_{f}")
         score = F.when(std > 0, F.try_divide(F.col(f) - mean, std)).otherwise(F.lit(0.0))
         scores[f"z_{f}"] = F.round(score, 3)
-    # the test uses the rounded score
+    # The test uses the rounded score. Rounding is costly, so each score is worked
+    # out once and not again in every flag, sum and label built on it.
     flags = {f"flag_z_{f}": (F.abs(f"z_{f}") > Z_LIMIT).cast("int") for f in FEATURES}
-    return df.withColumns(scores).withColumns(flags)
+    return computed_once(computed_once(df, **scores), **flags)
 
 
 def _outside(feature: str) -> Column:
@@ -91,7 +92,7 @@ def _outside(feature: str) -> Column:
 
 
 def _iqr_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns({f"flag_iqr_{f}": _outside(f).cast("int") for f in FEATURES})
+    return computed_once(df, **{f"flag_iqr_{f}": _outside(f).cast("int") for f in FEATURES})
 
 
 def zscore_flags(features: DataFrame, moments: DataFrame | None = None) -> DataFrame:

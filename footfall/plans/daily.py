@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.cleaning import (
+    COPIES,
     Lookups,
     build_lookups,
     count_copies,
     fill_and_normalize,
+    with_ids,
 )
 from footfall.operators.metrics import METRICS
 from footfall.schema import METRIC_INPUT_COLUMNS
@@ -57,12 +59,13 @@ def run_daily(
     with staging_scope(spark):
         staged = stage(count_copies(raw.select(*METRIC_INPUT_COLUMNS)), "events", "event_type")
         totals = staged.agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("raw"), F.count("event_id").alias("clean")
+            F.coalesce(F.sum(F.abs(COPIES)), F.lit(0)).alias("raw"),
+            F.count_if(F.col(COPIES) > 0).alias("clean"),
         ).first()
         if totals["raw"] == 0:
             log.warning("no events")
             return {"events_processed": 0}
-        deduped = staged.filter(F.col("event_id").isNotNull()).drop("copies")
+        deduped = with_ids(staged)
         lookups = build_lookups(deduped, METRIC_INPUT_COLUMNS)
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             jobs = {

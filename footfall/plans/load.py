@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import argparse
+import json
 import logging
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,9 +17,17 @@ from footfall.operators.warehouse import (
     to_fact,
     with_load_stamp,
 )
+from footfall.session import build_session
 from footfall.sources.events import ALL_DAYS
-from footfall.sources.jdbc import write_jdbc
-from footfall.sources.metric_store import REPLACE_DAYS, read_metric, table_path, write_days
+from footfall.sources.jdbc import jdbc_options, write_jdbc
+from footfall.sources.metric_store import (
+    APPEND,
+    REPLACE_ALL,
+    REPLACE_DAYS,
+    read_metric,
+    table_path,
+    write_days,
+)
 
 log = logging.getLogger(__name__)
 
@@ -74,3 +85,42 @@ def add_missing(new: DataFrame, path: str, keys: list[str]) -> None:
             raise
         existing = empty
     absent_rows(new, existing, keys).write.mode("append").parquet(path)
+
+
+def main(argv: list[str] | None = None) -> int:
+    parser = argparse.ArgumentParser(description=__doc__)
+    parser.add_argument("--metrics", required=True, help="base folder of the metric tables")
+    parser.add_argument("--facts", required=True, help="base folder of the fact tables")
+    parser.add_argument("--date", default=ALL_DAYS, help="YYYY-MM-DD, or all")
+    parser.add_argument("--metric", default=ALL_DAYS, help="one metric, or all")
+    parser.add_argument("--mode", default=REPLACE_DAYS, choices=[REPLACE_DAYS, REPLACE_ALL, APPEND])
+    parser.add_argument("--results", help="folder for quality results")
+    parser.add_argument("--exact", action="store_true", help="warehouse numeric types")
+    parser.add_argument("--jdbc-url", help="load into a database instead of the fact folder")
+    args = parser.parse_args(argv)
+    jdbc = None
+    if args.jdbc_url:
+        # credentials stay out of the command line
+        user, password = os.environ.get("DB_USER"), os.environ.get("DB_PASSWORD")
+        jdbc = jdbc_options(args.jdbc_url, "", user, password)
+    spark = build_session("footfall-load")
+    try:
+        loaded = load_all(
+            spark,
+            args.metrics,
+            args.facts,
+            only=args.metric,
+            run_date=args.date,
+            mode=args.mode,
+            results=args.results,
+            exact=args.exact,
+            jdbc=jdbc,
+        )
+    finally:
+        spark.stop()
+    print(json.dumps(loaded))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

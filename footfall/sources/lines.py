@@ -47,7 +47,8 @@ def write_quarantine(records: DataFrame, base: str, batch: str) -> None:
     """
     rows = with_key_folders(records).withColumn("batch", F.lit(batch))
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", *_LAYOUT)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch", *_LAYOUT)
         .json(base)

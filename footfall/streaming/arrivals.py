@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.ingest import MAX_INVALID_RATIO, rollup_metrics
 from footfall.plans.ingest import IngestTargets, ingest_lines
+from footfall.session import build_session
 from footfall.sources.lines import read_lines, source_key
 
 log = logging.getLogger(__name__)
@@ -107,3 +109,31 @@ def start_ingest(
 def stream_rollup(metrics: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """The five-minute roll-up over a stream of ingest metrics."""
     return rollup_metrics(metrics.withWatermark("recorded_at", delay))
+
+
+def main(argv: list[str] | None = None) -> int:
+    parser = argparse.ArgumentParser(description=__doc__)
+    parser.add_argument("--input", required=True, help="folder watched for event files")
+    parser.add_argument("--root", required=True, help="folder that source keys are relative to")
+    parser.add_argument("--output", required=True, help="base folder of all ingest results")
+    parser.add_argument("--checkpoint", required=True, help="progress of the stream")
+    parser.add_argument("--max-invalid-ratio", type=float, default=MAX_INVALID_RATIO)
+    parser.add_argument("--continuous", action="store_true", help="keep waiting for files")
+    args = parser.parse_args(argv)
+    spark = build_session("footfall-ingest")
+    query = start_ingest(
+        spark,
+        args.input,
+        args.root,
+        args.output,
+        args.checkpoint,
+        source=args.root,
+        max_invalid_ratio=args.max_invalid_ratio,
+        available_now=not args.continuous,
+    )
+    query.awaitTermination()
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -36,7 +36,9 @@ def test_one_id_holding_most_rows_collapses_before_the_shuffle(spark, events):
 
 def test_copies_add_up_to_raw_rows_with_null_ids(events):
     df = events({"event_id": None}, {"event_id": None}, {"event_id": "A"}, {"event_id": "A"})
-    assert by_id(cleaning.count_copies(df), "copies") == {None: 2, "A": 2}
+    counted = cleaning.count_copies(df)
+    assert by_id(counted, "copies") == {None: -2, "A": 2}
+    assert [r.event_id for r in cleaning.with_ids(counted).collect()] == ["A"]
 
 
 def test_country_is_imputed_for_every_event_type(events):
