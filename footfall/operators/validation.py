@@ -47,13 +47,20 @@ def parse_line(lines: DataFrame, column: str = "line") -> DataFrame:
     """Add ``raw``, ``is_json`` and ``members`` (keys and values, NULL if not an object).
 
     Spark's JSON parser stops after the first complete value. The line is wrapped
-    in an envelope that ends with a key made from the line's own hash: text behind
-    the first value, or a line that closes the envelope early, leaves other keys.
+    in an envelope whose two keys carry the line's own hash: text behind the first
+    value, or a line that closes the envelope early, leaves other keys.
     """
-    mark = F.concat(F.lit("end"), F.xxhash64("raw").cast("string"))
-    envelope = F.concat(F.lit('{"line":'), F.col("raw"), F.lit(',"'), mark, F.lit('":1}'))
+    line_key, end_key = (
+        F.concat(F.lit(name), F.xxhash64("raw").cast("string")) for name in ("line", "end")
+    )
+    envelope = F.concat(
+        F.lit('{"'), line_key, F.lit('":'), F.col("raw"), F.lit(',"'), end_key, F.lit('":1}')
+    )
     parts = F.col("__parts")
-    intact = (F.size(parts) == 2) & F.array_contains(F.map_keys(parts), mark)
+    keys = F.map_keys(parts)
+    intact = (
+        (F.size(parts) == 2) & F.array_contains(keys, line_key) & F.array_contains(keys, end_key)
+    )
     without_end = F.rtrim(F.make_valid_utf8(F.col(column)), F.lit("\r\n"))
     enveloped = computed_once(
         computed_once(lines, raw=without_end), __parts=_members(F.try_parse_json(envelope))
@@ -61,7 +68,7 @@ def parse_line(lines: DataFrame, column: str = "line") -> DataFrame:
     return computed_once(
         enveloped,
         is_json=F.coalesce(intact, F.lit(False)),
-        members=F.when(intact, _members(parts["line"])),
+        members=F.when(intact, _members(parts[line_key])),
     ).drop("__parts")
 
 

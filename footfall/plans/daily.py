@@ -9,7 +9,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.cleaning import (
@@ -33,13 +33,8 @@ log = logging.getLogger(__name__)
 def _write_metric(name: str, deduped: DataFrame, lookups: Lookups, base: str, options) -> int:
     metric = METRICS[name]
     events = fill_and_normalize(deduped, lookups, metric.columns)
-    # Counted after the last shuffle, in the tasks that write: a repeated stage
-    # cannot count a row twice.
-    seen = Observation(name)
     result = metric.compute(events, **options.get(name, {}))
-    counted = result.hint("rebalance", "dt").observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_days(counted, table_path(base, name))
-    return seen.get["rows"]
+    return write_days(result, table_path(base, name))
 
 
 def run_daily(

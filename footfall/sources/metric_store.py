@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.metrics import METRIC_SCHEMAS
@@ -15,23 +15,29 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def write_days(df: DataFrame, path: str, mode: str = REPLACE_DAYS) -> None:
+def write_days(df: DataFrame, path: str, mode: str = REPLACE_DAYS) -> int:
     """Write a table partitioned by ``dt``.
 
     ``replace_days`` overwrites only the days present in ``df``, so running a day
     again is harmless; ``replace_all`` drops every other day; ``append`` adds.
     The rebalance writes one file per small day and splits a day that outgrows a
     partition, instead of sending all rows to one writer.
+
+    Returns the number of rows. They are counted by the tasks that write, after
+    the last shuffle, so a repeated stage cannot count a row twice.
     """
     overwrite = {REPLACE_DAYS: "dynamic", REPLACE_ALL: "static", APPEND: "static"}[mode]
+    written = Observation()
     (
         df.hint("rebalance", "dt")
+        .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("append" if mode == APPEND else "overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("compression", "snappy")
         .partitionBy("dt")
         .parquet(path)
     )
+    return written.get["rows"]
 
 
 def read_days(

@@ -114,8 +114,20 @@ def test_accepts_borderline_values(spark):
 
 def test_line_cannot_close_the_envelope_itself(spark):
     good = json.dumps(event("search"))
-    rows = verdicts(spark, good + ',"line":1}', good + ',"end1":1}garbage', good + "}")
-    assert [r.error.split(":")[0] for r in rows] == ["json_decode_error"] * 3
+    bad = [good + ',"line":1}', good + ',"line":1', good + ',"end1":1}garbage', good + "}", "{}," + good]
+    rows = verdicts(spark, *bad)
+    assert [r.error.split(":")[0] for r in rows] == ["json_decode_error"] * len(bad)
+
+
+def test_last_of_repeated_keys_counts(spark):
+    text = json.dumps(event("cart_event"))
+    rows = verdicts(
+        spark,
+        text[:-1] + ', "action": "remove"}',
+        text[:-1] + ', "action": "destroy"}',
+        text.replace('"add"', '"destroy"')[:-1] + ', "action": "add"}',
+    )
+    assert [r.is_valid for r in rows] == [True, False, True]
 
 
 @settings(
