@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import is_event
+from footfall.sources.staging import stage
 
 COLUMNS = ("event_type", "session_id", "dt", "device_type", "country", "time_on_page_seconds")
 _KEYS = ("dt", "device_type", "country")
@@ -19,9 +20,12 @@ def device_country(events: DataFrame) -> DataFrame:
     Counting sessions next to a percentile would carry one quantile sketch per
     session through the shuffle. So the counts go through one row per session and
     the sketches through one row per segment, and the two small results are joined.
+    The page views are staged first: filling in devices is a join by user, which may
+    shuffle, and both branches would repeat it.
     Averages are taken on decimals, where a tie at the second place always rounds up.
     """
-    views = events.filter(is_event("page_view"))
+    columns = (*_KEYS, "session_id", "time_on_page_seconds")
+    views = stage(events.filter(is_event("page_view")).select(*columns), "segments")
     time = F.col("time_on_page_seconds")
     sessions = views.groupBy(*_KEYS, "session_id").agg(
         F.count(F.lit(1)).alias("views"),

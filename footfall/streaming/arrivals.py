@@ -117,6 +117,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="folder that source keys are relative to")
     parser.add_argument("--output", required=True, help="base folder of all ingest results")
     parser.add_argument("--checkpoint", required=True, help="progress of the stream")
+    parser.add_argument("--pattern", default="*.jsonl", help="names of event files")
     parser.add_argument("--max-invalid-ratio", type=float, default=MAX_INVALID_RATIO)
     parser.add_argument("--continuous", action="store_true", help="keep waiting for files")
     args = parser.parse_args(argv)
@@ -129,6 +130,7 @@ def main(argv: list[str] | None = None) -> int:
         args.checkpoint,
         source=args.root,
         max_invalid_ratio=args.max_invalid_ratio,
+        pattern=args.pattern,
         available_now=not args.continuous,
     )
     query.awaitTermination()
