@@ -50,6 +50,8 @@ def write_quarantine(records: DataFrame, base: str, batch: str) -> None:
         rows.hint("rebalance", *_LAYOUT)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        # every record shows all five fields, also an unknown event type
+        .option("ignoreNullFields", "false")
         .partitionBy("batch", *_LAYOUT)
         .json(base)
     )

@@ -67,6 +67,11 @@ def test_files_are_summarised_and_rejects_kept(spark, landing, tmp_path):
     assert rows[0]["raw_payload"] == "{not valid json}" and rows[0].get("event_type") is None
     assert rows[1]["event_type"] == "page_view"
 
+    first = next(out.glob(f"rejects/batch=1/{DAY}/*.json")).read_text().splitlines()[0]
+    assert set(json.loads(first)) == {
+        "line_number", "source_key", "event_type", "error_reason", "raw_payload",
+    }
+
     whole = spark.read.text(f"{out}/whole_files/batch=1/{DAY}/source_file=corrupt.jsonl")
     assert whole.count() == 10
 
