@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import oracle
 from footfall.operators import cleaning
 from footfall.plans import catalogue
 from tools.check import TABLES, rows_of
@@ -28,7 +29,7 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(catalogue.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("name", CHECKED)
