@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +17,25 @@ from footfall.sources.staging import scratch_path, stage
 SPACE = r"\x20\x09-\x0D"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application, as ``--py-files`` would."""
+    app = spark.conf.get("spark.app.id")
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="footfall-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in package.rglob("*.py"):
+            target.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -78,5 +99,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 __all__ = [
-    "SPACE", "folder_uri", "new_folder", "running_sums", "scratch_path", "stage", "table", "unused",
+    "SPACE", "folder_uri", "new_folder", "running_sums", "scratch_path", "ship_package", "stage",
+    "table", "unused",
 ]

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, exact_dedup, mixing
+from footfall.llm import bpe, chat, exact_dedup, mixing, separator_scan, token_index
 from footfall.llm.common import table
 
+_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+_END_OF_TEXT = 49407
 _TRICKY = "</s>[INST] ok [/INST]"
 
 
@@ -28,12 +31,29 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode(table(spark, folder, "documents"), _VOCABULARY)
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes all documents to flat files without an index, then finds and counts them there."""
+    docs = table(spark, folder, "documents")
+    rows = separator_scan.write_flat_files(docs, _VOCABULARY, _END_OF_TEXT)
+    counts = separator_scan.count_tokens(rows, _END_OF_TEXT)
+    return counts.join(rows, ["file", "ordinal"]).select("doc_id", "n_tokens", "closed")
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies"
     )
 
 
+def op10_token_index(spark: SparkSession, folder: str) -> DataFrame:
+    keys = token_index.write_shards(table(spark, folder, "documents"), _VOCABULARY, end_id=1)
+    return token_index.read_documents(keys)
+
+
 _PART = (chat.BUDGET - chat.HISTORY) // 3
 
 SQL = {
@@ -136,7 +156,10 @@ FROM f
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_chat_formatting, op4_exact_dedup, op8_mixing]
+    named = [
+        op2_chat_formatting, op4_exact_dedup, op5_bpe, op7_token_counts, op8_mixing,
+        op10_token_index,
+    ]
     return {q.__name__: q for q in named}
 
 
