@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bpe, chat, exact_dedup, mixing, separator_scan, token_index
+from footfall.llm import (
+    bpe, chat, exact_dedup, language, mixing, near_dedup, separator_scan, token_index, toxicity,
+    vectors,
+)
 from footfall.llm.common import table
 
 _VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +19,11 @@ _END_OF_TEXT = 49407
 _TRICKY = "</s>[INST] ok [/INST]"
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    model = language.fit_text_model(table(spark, folder, "documents"))
+    return language.languages_of(table(spark, folder, "pages"), model)
+
+
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(
@@ -27,6 +35,10 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.chat_windows(given.unionByName(own)))
 
 
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
@@ -35,6 +47,11 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"), _VOCABULARY)
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Writes all documents to flat files without an index, then finds and counts them there."""
     docs = table(spark, folder, "documents")
@@ -49,6 +66,10 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op10_token_index(spark: SparkSession, folder: str) -> DataFrame:
     keys = token_index.write_shards(table(spark, folder, "documents"), _VOCABULARY, end_id=1)
     return token_index.read_documents(keys)
@@ -157,8 +178,8 @@ FROM f
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        op2_chat_formatting, op4_exact_dedup, op5_bpe, op7_token_counts, op8_mixing,
-        op10_token_index,
+        op1_language_id, op2_chat_formatting, op3_near_dedup, op4_exact_dedup, op5_bpe,
+        op6_toxicity, op7_token_counts, op8_mixing, op9_near_vectors, op10_token_index,
     ]
     return {q.__name__: q for q in named}
 
