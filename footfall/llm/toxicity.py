@@ -1,6 +1,7 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Words get log-odds under an informative Dirichlet prior. A linear scan finds every
+Tokens, which are words and beginnings of words, get log-odds under an informative
+Dirichlet prior; a word scores as its most telling token does. A linear scan finds every
 maximal segment of a text whose summed score stands out; extreme-value statistics
 of such segments in harmless text turn them into evidence, and a logistic curve
 turns evidence into a probability.
@@ -21,17 +22,25 @@ from pyspark.sql import functions as F
 from footfall.llm.common import stage, unused
 
 #: Labelled rows that the classifier is fitted on at most, chosen by a hash of the id.
-MAX_TRAINING_ROWS = 20_000
-#: Words with the most significant log-odds that the lexicon holds at most.
-MAX_WORDS = 5_000
+MAX_TRAINING_ROWS = 10_000
+#: Tokens with the most significant log-odds that the lexicon holds at most.
+MAX_TOKENS = 5_000
 #: A row is called toxic from this score on.
 THRESHOLD = 0.3
 
-_LEAST_Z = 2.6
+_LEAST_Z = 3.3
+_LEAST_EVIDENCE = math.log(20)  # a passage is significant if chance makes under 1/20 of it
 _PRIOR_SHARE = 0.1  # the prior weighs as much as this share of the counted words
 _IN_PASSAGE = 0.2  # share of lexicon words expected inside a toxic passage
 _MISS = math.log(1 - _IN_PASSAGE)
 _WORD = re.compile(r"[^\W\d_]+")
+_BEGINNINGS = range(3, 9)  # lengths of word beginnings that are tokens
+_CACHED_WORDS = 500_000
+
+
+def tokens_of(word: str) -> list[str]:
+    """The word, and its beginnings marked with a hyphen."""
+    return [word, *[f"{word[:n]}-" for n in _BEGINNINGS if n <= len(word)]]
 
 
 def held_out(id_col: Column) -> Column:
@@ -40,26 +49,44 @@ def held_out(id_col: Column) -> Column:
 
 @dataclass
 class Model:
-    """``weights`` per word; ``scale`` and ``rate`` of the extreme values; the logistic curve."""
+    """``weights`` per token; ``scale`` and ``rate`` of the extreme values; the logistic curve."""
 
     weights: dict[str, float] = field(default_factory=dict)
     scale: float = 1.0
     log_rate: float = 0.0
     slope: float = 0.0
     offset: float = -6.0
+    _known: dict[str, float] = field(default_factory=dict, repr=False)
 
     def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words, and (first word, last word, score) of each maximal segment."""
-        get = self.weights.get
+        get = self._known.get
         words = _WORD.findall(text.lower())
-        hits = [(i, s) for i, w in enumerate(words) if (s := get(w)) is not None]
+        hits = []
+        for i, word in enumerate(words):
+            found = get(word)
+            if found is None:
+                found = self._word_score(word)
+            if found:
+                hits.append((i, found))
         return len(words), maximal_segments(hits, _MISS)
 
+    def _word_score(self, word: str) -> float:
+        """The largest weight of the word's tokens; 0 if it has none."""
+        found = max([self.weights.get(t, 0.0) for t in tokens_of(word)])
+        if len(self._known) >= _CACHED_WORDS:
+            self._known.clear()
+        self._known[word] = found
+        return found
+
+    def __getstate__(self):
+        return {**self.__dict__, "_known": {}}
+
     def passages(self, text: str) -> list[tuple[int, int, float]]:
         """Significant passages: first and last word, and evidence (-ln of the expected number)."""
         n, found = self.segments(text)
         said = [(a, b, self.scale * s - self.log_rate - math.log(n)) for a, b, s in found]
-        return [p for p in said if p[2] > 0]
+        return [p for p in said if p[2] >= _LEAST_EVIDENCE]
 
     def evidence(self, text: str) -> float:
         return sum(e for _, _, e in self.passages(text))
@@ -139,10 +166,10 @@ def fit(
     z = delta / F.sqrt(1 / in_bad + 1 / in_good)
     lexicon = (
         counts.select("word", "all", "bad", delta.alias("delta"), z.alias("z"), in_good.alias("good"))
-        .filter((F.col("z") >= _LEAST_Z) & (F.col("delta") > 0))
+        .filter(F.col("z") >= _LEAST_Z)
         .orderBy(F.desc("z"), "word")
-        .limit(MAX_WORDS)
-        .collect()  # at most MAX_WORDS
+        .limit(MAX_TOKENS)
+        .collect()  # at most MAX_TOKENS
     )
     model = Model({r.word: float(r.delta) for r in lexicon})
     if not model.weights:
@@ -179,7 +206,7 @@ def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs = (" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
             least = min(xxhash.xxh3_64_intdigest(run) for run in runs)
             keys.append(least - (1 << 63))
-            words_of.append(sorted(set(words)))
+            words_of.append(sorted({t for w in set(words) for t in tokens_of(w)}))
         yield pa.RecordBatch.from_arrays(
             [batch.column("id").cast(pa.int64()), batch.column("toxic"),
              pa.array(keys, pa.int64()), pa.array(words_of, pa.list_(pa.string()))],
@@ -212,7 +239,7 @@ def _calibrate(model: Model, train: DataFrame) -> None:
 
     def evidence(r) -> float:
         said = [model.scale * s - model.log_rate - math.log(r.n) for s in r.best]
-        return math.log1p(sum(e for e in said if e > 0))
+        return math.log1p(sum(e for e in said if e >= _LEAST_EVIDENCE))
 
     x = np.array([evidence(r) for r in rows])
     y = np.array([r.toxic for r in rows], float)
