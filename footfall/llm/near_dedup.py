@@ -28,6 +28,8 @@ BANDS, ROWS = 12, 3
 CELLS = 1 << 16
 #: Texts that are compared with one leader, or block with block, in a task's group.
 GROUP = 64
+#: Leaders that a bucket's texts are compared with before they are compared in blocks.
+STAR_ROUNDS = 3
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -243,14 +245,13 @@ def _verify(weights: Weights, least: float):
     """Links between the texts of side 0 and side 1 of a group that are not joined yet."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        texts = frame["text"].tolist()
-        hashes, tf, per_text = shingles(texts)
-        w = weights.of(hashes, tf)
-        cuts = np.concatenate([[0], np.cumsum(per_text)])
-        sets = [(hashes[a:b], w[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-        total = np.array([x[1].sum() for x in sets])
+        hashes, tf, per_text = shingles(frame["text"].tolist())
+        w = weights.of(hashes, tf).astype(np.float64)
+        ends = np.cumsum(per_text)
+        starts = ends - per_text
+        total = np.add.reduceat(w, starts)
         side, comp, ids = (frame[c].to_numpy() for c in ("side", "comp", "id"))
-        joined = dict(zip(comp.tolist(), comp.tolist(), strict=True))
+        joined = {c: c for c in comp.tolist()}
 
         def root(x):
             while joined[x] != x:
@@ -258,20 +259,105 @@ def _verify(weights: Weights, least: float):
             return x
 
         links = []
-        for i in np.flatnonzero(side != 1):
-            near = np.minimum(total, total[i]) >= least * np.maximum(total, total[i]) * (1 - 1e-6)
-            for j in np.flatnonzero(near & (side != 0)):
-                if j == i or (side[i] == 2 and side[j] == 2 and j < i):
-                    continue
-                a, b = root(comp[i]), root(comp[j])
-                if a != b and weighted_jaccard(*sets[i], *sets[j]) >= least:
-                    joined[b] = a
+        others = np.flatnonzero(side == 1)
+        for i in np.flatnonzero(side == 0):
+            own = root(comp[i])
+            left = [j for j in others.tolist() if root(comp[j]) != own]
+            if not left:
+                continue
+            mine, mine_w = hashes[starts[i] : ends[i]], w[starts[i] : ends[i]]
+            at = np.minimum(np.searchsorted(mine, hashes), len(mine) - 1)
+            shared = np.where(mine[at] == hashes, np.minimum(mine_w[at], w), 0.0)
+            common = np.add.reduceat(shared, starts)
+            alike = common >= least * (total + total[i] - common)
+            for j in left:
+                if alike[j] and root(comp[j]) != root(comp[i]):
+                    joined[root(comp[j])] = root(comp[i])
                     links.append((ids[i], ids[j]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def _star_links(pairs: DataFrame, pool: DataFrame, check) -> DataFrame:
+    """Links among ``pairs(lead, lead_comp, id, comp)``, in groups of a leader and GROUP texts."""
+    pairs = stage(pairs, "stars")
+    sizes = stage(
+        pairs.groupBy("lead", "lead_comp").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts")),
+        "star_sizes",
+    )
+    spread = pairs.join(sizes, ["lead", "lead_comp"])
+    members = spread.select(
+        "lead", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), "id", "comp",
+        F.lit(1).alias("side"),
+    )
+    leads = sizes.select(
+        "lead",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        F.col("lead").alias("id"),
+        F.col("lead_comp").alias("comp"),
+        F.lit(0).alias("side"),
+    )
+    groups = members.unionByName(leads).join(pool, "id").groupBy("lead", "part")
+    return stage(groups.applyInPandas(check, "a long, b long"), "star_links")
+
+
+def _block_links(mixed: DataFrame, pool: DataFrame, check) -> DataFrame:
+    """Links between each text outside its bucket's largest component and all others."""
+    outside, inside = F.ceil(F.col("rest") / GROUP), F.ceil(F.col("n") / GROUP)
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    def own(n):
+        return F.pmod(F.xxhash64("id"), n)
+
+    few = mixed.filter("comp <> big").select(
+        "band", own(outside).alias("p"), every(inside).alias("q"), "id", "comp",
+        F.lit(0).alias("side"),
+    )
+    all_ = mixed.select(
+        "band", every(outside).alias("p"), own(inside).alias("q"), "id", "comp",
+        F.lit(1).alias("side"),
+    )
+    tiles = few.unionByName(all_).join(pool, "id").groupBy("band", "p", "q")
+    return stage(tiles.applyInPandas(check, "a long, b long"), "block_links")
+
+
+def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(band, id, comp, big, n, rest) of the buckets that hold several components.
+
+    ``big`` is the component with most texts in the bucket and ``rest`` counts the
+    others. Of buckets with the same texts one is kept.
+    """
+    marked = stage(
+        members.join(components(links), "id", "left").select(
+            "band", "id", F.coalesce("component", "id").alias("comp")
+        ),
+        "marked",
+    )
+    per = marked.groupBy("band", "comp").agg(
+        F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who")
+    )
+    several = (
+        per.groupBy("band")
+        .agg(
+            F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("n"),
+            F.sum("who").alias("who"), F.count(F.lit(1)).alias("comps"),
+        )
+        .filter("comps > 1")
+        .groupBy("n", "who", "top")
+        .agg(F.min("band").alias("band"))
+    )
+    kept = stage(
+        several.select(
+            "band", F.col("top.comp").alias("big"), "n", (F.col("n") - F.col("top.k")).alias("rest")
+        ),
+        "mixed",
+    )
+    return stage(marked.join(kept, "band"), "mixed_members")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -285,10 +371,11 @@ def near_duplicates(
     counts are one text from the start.
 
     Every bucket of a band first compares its texts with its smallest one, in
-    groups of ``GROUP``. Buckets that still hold texts of several components are
-    compared in blocks, pair of blocks by pair of blocks, leaving out pairs that
-    are joined already. So every pair of texts that shares a bucket is either
-    joined or has been compared, and a group of equal or all-alike texts costs
+    groups of ``GROUP``; while it holds texts of several components, with another
+    one from outside its largest component. In buckets that are still mixed after
+    ``STAR_ROUNDS``, every text outside the largest component is compared with all
+    others, block by block. So each pair of texts that shares a bucket is joined
+    in the end or has been compared, and a group of texts that are all alike costs
     as many comparisons as it has texts.
 
     * null text, text without words: a class of its own.
@@ -327,51 +414,22 @@ def near_duplicates(
     )
     check = _verify(weights, similarity)
 
-    stars = stage(met.filter("id <> lead").select("lead", "id").distinct(), "stars")
-    sizes = stage(
-        stars.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts")), "star_sizes"
-    )
-    spread = stars.join(sizes, "lead").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    members = spread.select("lead", "part", "id", F.lit(1).alias("side"))
-    leads = sizes.select(
-        "lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
-    ).select("lead", "part", F.col("lead").alias("id"), F.lit(0).alias("side"))
-    groups = members.unionByName(leads).withColumn("comp", F.col("id"))
-    first = stage(
-        groups.join(pool, "id").groupBy("lead", "part").applyInPandas(check, "a long, b long"),
-        "star_links",
-    )
-
-    comp = components(first)
-    marked = stage(
-        met.join(comp, "id", "left").select(
-            "band", "id", F.coalesce("component", "id").alias("comp")
-        ),
-        "marked",
-    )
-    mixed = (
-        marked.groupBy("band")
-        .agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who"),
+    stars = met.filter("id <> lead").select("lead", F.col("lead").alias("lead_comp"), "id", F.col("id").alias("comp"))
+    links = _star_links(stars.distinct(), pool, check)
+    members = met.select("band", "id")
+    for _ in range(STAR_ROUNDS - 1):
+        mixed = _mixed(members, links)
+        lead = stage(
+            mixed.filter("comp <> big").groupBy("band").agg(F.min(F.struct("id", "comp")).alias("l")),
+            "leads",
         )
-        .filter("low <> high")
-        .groupBy("low", "high", "n", "who")  # buckets of several bands with the same texts
-        .agg(F.min("band").alias("band"))
-    )
-    mixed = stage(mixed.select("band", F.ceil(F.col("n") / GROUP).alias("blocks")), "mixed")
-    blocks = marked.join(mixed, "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    tiles = blocks.withColumn("other", other).select(
-        "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "id", "comp",
-        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-        .alias("side"),
-    )
-    second = stage(
-        tiles.join(pool, "id").groupBy("band", "p", "q").applyInPandas(check, "a long, b long"),
-        "block_links",
-    )
-    classes = components(first.unionByName(second))
+        stars = mixed.join(lead, "band").filter("comp <> l.comp")
+        stars = stars.select(
+            F.col("l.id").alias("lead"), F.col("l.comp").alias("lead_comp"), "id", "comp"
+        )
+        links = stage(links.unionByName(_star_links(stars.distinct(), pool, check)), "all_links")
+    links = links.unionByName(_block_links(_mixed(members, links), pool, check))
+    classes = components(links)
     named = stage(
         distinct.join(classes, F.col("rep") == F.col("id"), "left").select(
             F.col("key").alias("k"), F.coalesce("component", "rep").alias("class")
