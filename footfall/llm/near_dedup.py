@@ -22,14 +22,14 @@ from footfall.llm.components import components
 
 SIMILARITY = 0.8
 WORDS = 5
-#: Bands of samples: a pair of similarity 0.8 is missed with probability 0.0002.
-BANDS, ROWS = 12, 3
+#: Bands of samples: a pair of similarity 0.8 is missed with probability 0.0006.
+BANDS, ROWS = 14, 4
 #: Cells that shingles are hashed to when document frequencies are counted.
 CELLS = 1 << 16
 #: Texts that are compared with one leader, or block with block, in a task's group.
 GROUP = 64
 #: Leaders that a bucket's texts are compared with before they are compared in blocks.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
