@@ -27,7 +27,7 @@ BANDS, ROWS = 14, 4
 #: Cells that shingles are hashed to when document frequencies are counted.
 CELLS = 1 << 16
 #: Texts that are compared with one leader, or block with block, in a task's group.
-GROUP = 64
+GROUP = 256
 #: Leaders that a bucket's texts are compared with before they are compared in blocks.
 STAR_ROUNDS = 1
 
