@@ -110,6 +110,21 @@ def file_summary(
     )
 
 
+def with_empty_files(summary: DataFrame, files: DataFrame) -> DataFrame:
+    """Add files that have no line: no records, nothing in quarantine."""
+    kinds = {"boolean": F.lit(False), "string": F.lit(None)}
+    given = {"source_key": F.col("source_key"), "size_bytes": F.col("size_bytes")}
+    absent = files.join(summary.select("source_key"), "source_key", "left_anti")
+    return summary.unionByName(
+        absent.select(
+            *[
+                given.get(name, kinds.get(kind, F.lit(0))).cast(kind).alias(name)
+                for name, kind in summary.dtypes
+            ]
+        )
+    )
+
+
 def corrupt_files(summary: DataFrame) -> DataFrame:
     """Files whose share of invalid lines sends them to quarantine as a whole."""
     return summary.filter("is_corrupt").select(

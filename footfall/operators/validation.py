@@ -183,6 +183,7 @@ def validate_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     shown = (
         F.when(value.isNull() | (_kind(value) == "VOID"), "None")
         .when(is_text, F.concat(F.lit("'"), F.col("event_type"), F.lit("'")))
+        .when(_kind(value) == "BOOLEAN", F.initcap("event_type"))
         .otherwise(F.col("event_type"))
     )
     tests = [

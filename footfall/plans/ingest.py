@@ -57,9 +57,13 @@ def ingest_lines(
     source: str,
     batch: str,
     max_invalid_ratio: float = op.MAX_INVALID_RATIO,
+    files: DataFrame | None = None,
 ) -> None:
     """Validate one batch of files and write all ingest results.
 
+    ``files(source_key, size_bytes)`` names the files of the batch, so that those
+    without a line are reported too.
+
     Lines are parsed once; the staged verdicts hold a few bytes per valid line.
     Numbering, per-file totals and rejects all read that table. Lines of corrupt
     files are the only ones read again.
@@ -71,6 +75,8 @@ def ingest_lines(
         summary = stage(
             op.file_summary(verdicts, F.max("file_size"), max_invalid_ratio), "summary"
         )
+        if files is not None:
+            summary = stage(op.with_empty_files(summary, files), "summary")
         offsets = stage(op.block_offsets(verdicts), "offsets")
         write_quarantine(
             op.quarantine_records(verdicts, offsets, summary), targets.rejects, batch

@@ -19,7 +19,7 @@ from footfall.operators.warehouse import (
 )
 from footfall.session import build_session
 from footfall.sources.events import ALL_DAYS
-from footfall.sources.jdbc import jdbc_options, write_jdbc
+from footfall.sources.jdbc import jdbc_mode, jdbc_options, write_jdbc
 from footfall.sources.metric_store import (
     APPEND,
     REPLACE_ALL,
@@ -60,7 +60,7 @@ def load_metric(
         fact = require_references(fact, dates, "dt")
     rows = with_load_stamp(passing_rows(fact, rules), metric)
     if jdbc is not None:
-        write_jdbc(rows, {**jdbc, "dbtable": FACT_TABLES[metric]})
+        write_jdbc(rows, {**jdbc, "dbtable": FACT_TABLES[metric]}, jdbc_mode(mode))
     else:
         write_days(rows, table_path(facts_base, FACT_TABLES[metric]), mode)
     return True

@@ -20,6 +20,13 @@ def jdbc_options(
     return {**{k: v for k, v in given.items() if v}, "batchsize": str(batch_size)}
 
 
+def jdbc_mode(load_mode: str) -> str:
+    """Spark's save mode for a load mode; a day cannot be replaced over JDBC."""
+    if load_mode == "replace_days":
+        raise ValueError("a database table can be appended to or replaced, not replaced by day")
+    return "overwrite" if load_mode == "replace_all" else "append"
+
+
 def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append") -> None:
     """Append to, or with ``overwrite`` truncate and refill, a database table.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 
@@ -12,20 +13,35 @@ _LAYOUT = ("year", "month", "day")
 
 
 def source_key(path: Column, root: str) -> Column:
-    """Path of a file below ``root``."""
-    folder = re.sub(r"^[a-z0-9]+:/+", "", root).strip("/")
-    return F.regexp_replace(path, "^.*?" + re.escape(folder) + "/+", "")
+    """Path of a file below ``root``; the whole path if it lies elsewhere."""
+    if ":" not in root.split("/", 1)[0]:
+        root = os.path.abspath(root)
+    scheme = "^[A-Za-z0-9]+:/*"
+    folder = "/" + re.sub(scheme, "", root).strip("/") + "/"
+    plain = F.regexp_replace(path, scheme, "/")
+    below = F.substring(plain, len(folder) + 1, 1 << 30)
+    return F.when(plain.startswith(folder), below).otherwise(plain)
+
+
+def _decoded(path: Column) -> Column:
+    """A file path without the URL escapes that file metadata carries."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def exact_path(path: str) -> str:
+    """The path as a pattern that matches only itself."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], root: str) -> DataFrame:
     """Lines of text files: ``source_key, file_size, block, position, line``.
 
     ``block`` is the byte offset of the split a line was read from. ``position``
-    grows by one from line to line of a split.
+    grows by one from line to line of a split. ``paths`` may be patterns.
     """
     scan = spark.read.option("recursiveFileLookup", "true").text(paths)
     return scan.select(
-        source_key(F.col("_metadata.file_path"), root).alias("source_key"),
+        source_key(_decoded(F.col("_metadata.file_path")), root).alias("source_key"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
@@ -58,11 +74,18 @@ def write_quarantine(records: DataFrame, base: str, batch: str) -> None:
 
 
 def write_whole_files(lines: DataFrame, base: str, batch: str) -> None:
-    """Unchanged lines of corrupt files, one folder per source file."""
-    name = F.regexp_extract("source_key", r"([^/]+)$", 1)
-    rows = with_key_folders(lines).withColumns({"batch": F.lit(batch), "source_file": name})
+    """Lines of corrupt files, one folder per source key.
+
+    Parts of a folder, in the order of their names, hold the lines in order.
+    """
+    rows = with_key_folders(lines).withColumns(
+        {"batch": F.lit(batch), "source_file": F.col("source_key")}
+    )
+    place = ["source_file", "block", "position"]
     (
-        rows.select("batch", *_LAYOUT, "source_file", F.col("line").alias("value"))
+        rows.repartitionByRange(*place)
+        .sortWithinPartitions("batch", *_LAYOUT, *place)
+        .select("batch", *_LAYOUT, "source_file", F.col("line").alias("value"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch", *_LAYOUT, "source_file")

@@ -137,7 +137,7 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
         ("event_id", _quoted(F.col("event_id"))),
         (
             "event_type",
-            _quoted(F.when(damage == 2, F.lit("telepathy")).otherwise(F.col("event_type"))),
+            _quoted(F.when(damage == 2, F.lit("teleport")).otherwise(F.col("event_type"))),
         ),
         ("user_id", _quoted(F.when(damage == 6, F.lit("nobody")).otherwise(F.col("user_id")))),
         ("session_id", _quoted(F.col("session_id"))),
@@ -172,7 +172,7 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
             (
                 "action",
                 _quoted(
-                    F.when(damage == 5, F.lit("destroy")).otherwise(_pick(k % 2, "add", "remove"))
+                    F.when(damage == 5, F.lit("wipe")).otherwise(_pick(k % 2, "add", "remove"))
                 ),
             ),
         ],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from footfall.operators.ingest import MAX_INVALID_RATIO, rollup_metrics
 from footfall.plans.ingest import IngestTargets, ingest_lines
 from footfall.session import build_session
-from footfall.sources.lines import read_lines, source_key
+from footfall.sources.lines import exact_path, read_lines, source_key
 
 log = logging.getLogger(__name__)
 
@@ -70,31 +71,41 @@ def start_ingest(
     """
     targets = IngestTargets.under(output)
 
-    def ingest(paths: list[str], batch: str) -> None:
-        lines = read_lines(spark, paths, root)
-        ingest_lines(lines, targets, source, batch, max_invalid_ratio)
+    def ingest(paths: list[str], sizes: DataFrame, batch: str) -> None:
+        lines = read_lines(spark, [exact_path(p) for p in paths], root)
+        ingest_lines(lines, targets, source, batch, max_invalid_ratio, files=sizes)
 
     def is_readable(path: str) -> bool:
         try:
-            read_lines(spark, path, root).write.format("noop").mode("overwrite").save()
+            read_lines(spark, exact_path(path), root).write.format("noop").mode("overwrite").save()
         except Exception:
             log.exception("could not read %s", path)
             return False
         return True
 
     def on_batch(files: DataFrame, batch_id: int) -> None:
-        paths, batch = [row.path for row in files.select("path").collect()], str(batch_id)
-        if not paths:
+        found = [(row.path, row.length) for row in files.select("path", "length").collect()]
+        if not found:
             return
+        paths = [path for path, _ in found]
+        # batches are numbered per checkpoint, and every checkpoint has an id of its own
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        batch = f"{stream}-{batch_id}"
+        sizes = spark.createDataFrame(found, "path string, size_bytes long").select(
+            source_key(F.col("path"), root).alias("source_key"), "size_bytes"
+        )
         try:
-            ingest(paths, batch)
+            ingest(paths, sizes, batch)
         except Exception:
             readable = [p for p in paths if is_readable(p)]
             failed = sorted(set(paths) - set(readable))
             if not failed:
                 raise
             if readable:
-                ingest(readable, batch)
+                lost = spark.createDataFrame([(p,) for p in failed], "path string").select(
+                    source_key(F.col("path"), root).alias("source_key")
+                )
+                ingest(readable, sizes.join(lost, "source_key", "left_anti"), batch)
             _write_failures(spark, failed, root, targets, batch)
 
     writer = (

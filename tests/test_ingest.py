@@ -72,8 +72,10 @@ def test_files_are_summarised_and_rejects_kept(spark, landing, tmp_path):
         "line_number", "source_key", "event_type", "error_reason", "raw_payload",
     }
 
-    whole = spark.read.text(f"{out}/whole_files/batch=1/{DAY}/source_file=corrupt.jsonl")
-    assert whole.count() == 10
+    key = f"events/{DAY}/corrupt.jsonl".replace("/", "%2F").replace("=", "%3D")
+    parts = sorted(out.glob(f"whole_files/batch=1/{DAY}/source_file={key}/part-*.txt"))
+    copied = "".join(part.read_text() for part in parts)
+    assert copied.split() == (landing / "events" / DAY / "corrupt.jsonl").read_text().split()
 
     metrics = {
         r["name"]: r["value"]
@@ -145,7 +147,39 @@ def test_each_arriving_file_is_ingested_once(spark, landing, tmp_path):
     files = spark.read.parquet(f"{out}/summaries")
     assert files.count() == 5
     late = files.filter(F.col("source_key").endswith("late.jsonl")).first()
-    assert late.search == 3 and late.batch != 0
+    assert late.search == 3 and late.batch.endswith("-1")
+
+
+def test_odd_names_and_a_second_checkpoint(spark, tmp_path):
+    root, out = tmp_path / "bucket", tmp_path / "out"
+    put(root, "events/a/x.jsonl", ["junk"] * 3)
+    put(root, "events/b/x.jsonl", ["rubbish"] * 2)
+    put(root, "events/a/with space+[1].jsonl", good(2))
+    start(spark, root, out)
+    files = {r.source_key: r for r in spark.read.parquet(f"{out}/summaries").collect()}
+    assert set(files) == {"events/a/x.jsonl", "events/b/x.jsonl", "events/a/with space+[1].jsonl"}
+    assert files["events/a/with space+[1].jsonl"].records_valid == 2
+    assert not (out / "summaries_failed").exists()
+    whole = spark.read.text(f"{out}/whole_files")
+    counts = {r["value"]: r["count"] for r in whole.groupBy("value").count().collect()}
+    assert counts == {"junk": 3, "rubbish": 2}
+    query = start_ingest(spark, f"{root}/events", str(root), str(out), f"{tmp_path}/second")
+    query.awaitTermination()
+    assert spark.read.parquet(f"{out}/summaries").count() == 6, "the first results stay"
+
+
+def test_named_files_without_lines_are_reported(spark, tmp_path):
+    put(tmp_path, "events/a.jsonl", good(2))
+    named = spark.createDataFrame(
+        [("events/a.jsonl", 9), ("events/empty.jsonl", 0)], "source_key string, size_bytes long"
+    )
+    targets = IngestTargets.under(f"{tmp_path}/out")
+    lines = read_lines(spark, f"{tmp_path}/events", str(tmp_path))
+    ingest_lines(lines, targets, "bucket", "1", files=named)
+    rows = {r.source_key: r for r in spark.read.parquet(targets.summaries).collect()}
+    empty = rows["events/empty.jsonl"]
+    assert (empty.size_bytes, empty.records_valid, empty.is_corrupt) == (0, 0, False)
+    assert rows["events/a.jsonl"].records_valid == 2
 
 
 def test_unreadable_file_does_not_stop_the_others(spark, landing, tmp_path):

@@ -6,7 +6,7 @@ from conftest import as_dicts
 from footfall.operators import quality as dq
 from footfall.operators import rulesets, warehouse
 from footfall.plans.load import add_missing, load_all, load_metric
-from footfall.sources.jdbc import jdbc_options
+from footfall.sources.jdbc import jdbc_mode, jdbc_options
 from footfall.sources.metric_store import APPEND, REPLACE_ALL, read_days, table_path, write_days
 
 BOUNCE = "dt date, landing_page_type string, total_sessions long, bounce_sessions long, bounce_rate double"
@@ -189,3 +189,9 @@ def test_jdbc_options_leave_out_what_is_not_given():
     assert jdbc_options("jdbc:x:y", "fact_top_pages", user="u") == {
         "url": "jdbc:x:y", "dbtable": "fact_top_pages", "user": "u", "batchsize": "1000",
     }
+
+
+def test_jdbc_load_modes():
+    assert jdbc_mode("replace_all") == "overwrite" and jdbc_mode("append") == "append"
+    with pytest.raises(ValueError, match="replaced by day"):
+        jdbc_mode("replace_days")
