@@ -28,8 +28,8 @@ BANDS, ROWS = 14, 4
 CELLS = 1 << 16
 #: Texts that are compared with one leader, or block with block, in a task's group.
 GROUP = 256
-#: Leaders that a bucket's texts are compared with before they are compared in blocks.
-STAR_ROUNDS = 1
+#: Rounds at most in which large mixed buckets get another leader before blocks are compared.
+LEADER_ROUNDS = 2
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -370,13 +370,13 @@ def near_duplicates(
     its smallest doc_id, which is the row to keep. Texts with equal shingles and
     counts are one text from the start.
 
-    Every bucket of a band first compares its texts with its smallest one, in
-    groups of ``GROUP``; while it holds texts of several components, with another
-    one from outside its largest component. In buckets that are still mixed after
-    ``STAR_ROUNDS``, every text outside the largest component is compared with all
-    others, block by block. So each pair of texts that shares a bucket is joined
-    in the end or has been compared, and a group of texts that are all alike costs
-    as many comparisons as it has texts.
+    Every text is first compared with one leader, the smallest id in any of its
+    buckets, in groups of ``GROUP``; its words move once. Buckets that then hold more
+    than ``GROUP`` texts outside their largest component compare all with another
+    leader from there. In buckets that are still mixed, every text outside the largest
+    component is compared with all others, block by block. So each pair of texts that
+    shares a bucket is joined in the end or has been compared, and a group of texts
+    that are all alike costs as many comparisons as it has texts.
 
     * null text, text without words: a class of its own.
     * repeated rows: in one class; rows that repeat the kept id are all kept.
@@ -414,21 +414,28 @@ def near_duplicates(
     )
     check = _verify(weights, similarity)
 
-    stars = met.filter("id <> lead").select("lead", F.col("lead").alias("lead_comp"), "id", F.col("id").alias("comp"))
-    links = _star_links(stars.distinct(), pool, check)
+    stars = met.groupBy("id").agg(F.min("lead").alias("lead")).filter("id <> lead")
+    stars = stars.select(
+        "lead", F.col("lead").alias("lead_comp"), "id", F.col("id").alias("comp")
+    )
+    links = _star_links(stars, pool, check)
     members = met.select("band", "id")
-    for _ in range(STAR_ROUNDS - 1):
-        mixed = _mixed(members, links)
+    mixed = _mixed(members, links)
+    for _ in range(LEADER_ROUNDS):
+        large = mixed.filter(F.col("rest") > GROUP)
+        if large.isEmpty():
+            break
         lead = stage(
-            mixed.filter("comp <> big").groupBy("band").agg(F.min(F.struct("id", "comp")).alias("l")),
+            large.filter("comp <> big").groupBy("band").agg(F.min(F.struct("id", "comp")).alias("l")),
             "leads",
         )
-        stars = mixed.join(lead, "band").filter("comp <> l.comp")
+        stars = large.join(lead, "band").filter("comp <> l.comp")
         stars = stars.select(
             F.col("l.id").alias("lead"), F.col("l.comp").alias("lead_comp"), "id", "comp"
         )
         links = stage(links.unionByName(_star_links(stars.distinct(), pool, check)), "all_links")
-    links = links.unionByName(_block_links(_mixed(members, links), pool, check))
+        mixed = _mixed(members, links)
+    links = links.unionByName(_block_links(mixed, pool, check))
     classes = components(links)
     named = stage(
         distinct.join(classes, F.col("rep") == F.col("id"), "left").select(
