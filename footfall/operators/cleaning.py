@@ -75,12 +75,17 @@ def median_times(df: DataFrame) -> DataFrame:
 
 
 def impute_device(df: DataFrame, devices: DataFrame | None = None) -> DataFrame:
-    """NULL device becomes the user's modal device, or UNKNOWN if there is none."""
+    """NULL device becomes the user's modal device, or UNKNOWN if there is none.
+
+    Only rows without a device meet the table of users; the others stay where they are.
+    """
     if devices is None:
         devices = stage(modal_devices(df), "devices")
-    filled = F.coalesce("device_type", _MODAL, F.lit(UNKNOWN))
-    joined = df.join(devices, "user_id", "left").withColumn("device_type", filled)
-    return joined.select(*df.columns)
+    missing = df.filter(F.col("device_type").isNull())
+    joined = missing.join(devices, "user_id", "left").withColumn(
+        "device_type", F.coalesce(_MODAL, F.lit(UNKNOWN))
+    )
+    return df.filter(F.col("device_type").isNotNull()).unionByName(joined.select(*df.columns))
 
 
 def impute_time_on_page(df: DataFrame, medians: DataFrame | None = None) -> DataFrame:

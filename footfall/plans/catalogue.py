@@ -19,7 +19,14 @@ from footfall.plans.load import load_metric
 from footfall.session import configure
 from footfall.sources import shop_tables as shop
 from footfall.sources.events import on_day, read_event_days, write_event_days
-from footfall.sources.metric_store import read_days, read_metric, table_path, write_days
+from footfall.sources.metric_store import (
+    APPEND,
+    REPLACE_ALL,
+    read_days,
+    read_metric,
+    table_path,
+    write_days,
+)
 from footfall.sources.staging import scratch_path, stage
 from footfall.streaming.arrivals import start_ingest
 
@@ -349,6 +356,40 @@ def countries_insert_absent(spark, folder):
     return warehouse.absent_rows(used, warehouse.dim_country(spark), ["country_code"])
 
 
+def device_dimension_use(spark, folder):
+    """Every device of the dimension with the cleaned events that refer to it."""
+    used = _clean(spark, folder, ["device_type"]).groupBy("device_type").agg(
+        F.count(F.lit(1)).alias("events")
+    )
+    return warehouse.dim_device(spark).join(used, "device_type", "left").select(
+        "device_type", F.coalesce("events", F.lit(0)).alias("events")
+    )
+
+
+def fact_load_append(spark, folder):
+    """Load everything twice in append mode: rows, ids from business keys and stamps by day."""
+    metrics, facts = scratch_path(spark, "metrics"), scratch_path(spark, "facts")
+    write_days(_metric(spark, folder, "device_country"), table_path(metrics, "device_country"))
+    for _ in range(2):
+        load_metric(spark, "device_country", metrics, facts, mode=APPEND)
+    loaded = read_days(spark, table_path(facts, "fact_device_country"))
+    return loaded.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.count_distinct("id").alias("ids"),
+        F.count("loaded_at").alias("stamped"),
+    )
+
+
+def fact_load_replace_all(spark, folder):
+    """Load all days, then replace the whole table by one day."""
+    metrics, facts = scratch_path(spark, "metrics"), scratch_path(spark, "facts")
+    write_days(_metric(spark, folder, "device_country"), table_path(metrics, "device_country"))
+    load_metric(spark, "device_country", metrics, facts)
+    load_metric(spark, "device_country", metrics, facts, run_date=REPORT_DAY, mode=REPLACE_ALL)
+    loaded = read_days(spark, table_path(facts, "fact_device_country"))
+    return loaded.select("dt", "device_type", "country", "page_views", "unique_sessions")
+
+
 def fact_load_replace_day(spark, folder):
     """Load all days, then load one day again with only its mobile rows."""
     metrics, facts = scratch_path(spark, "metrics"), scratch_path(spark, "facts")
@@ -363,37 +404,52 @@ def fact_load_replace_day(spark, folder):
 
 
 # --- reports ----------------------------------------------------------------------
+def _report_facts(spark, folder, *names, exact=False):
+    """Facts of the report day as the warehouse stores them; other days are pruned.
+
+    The batch and the load stand for what has run before: the report itself reads
+    only the folders of its day.
+    """
+    metrics, facts = scratch_path(spark, "metrics"), scratch_path(spark, "facts")
+    run_daily(_events(spark, folder), metrics, metrics=list(names), options=METRIC_OPTIONS)
+    loaded = []
+    for name in names:
+        path = table_path(facts, name)
+        write_days(warehouse.to_fact(name, read_metric(spark, metrics, name), exact), path)
+        loaded.append(read_days(spark, path, REPORT_DAY))
+    return loaded
+
+
 def pages_top_time(spark, folder):
-    report = reports.top_pages_by_time(_fact(spark, folder, "top_pages", exact=True), REPORT_DAY)
+    (pages,) = _report_facts(spark, folder, "top_pages", exact=True)
+    report = reports.top_pages_by_time(pages, REPORT_DAY)
     return report.withColumns(
         {c: F.col(c).cast("double") for c in ("avg_time_on_page", "p95_time_on_page")}
     )
 
 
 def pages_top_bounce(spark, folder):
-    return reports.top_pages_by_bounce(_fact(spark, folder, "bounce_rate"), REPORT_DAY)
+    (bounces,) = _report_facts(spark, folder, "bounce_rate")
+    return reports.top_pages_by_bounce(bounces, REPORT_DAY)
 
 
 def sessions_summary(spark, folder):
-    report = reports.session_summary(
-        _fact(spark, folder, "device_country"), _fact(spark, folder, "bounce_rate"), REPORT_DAY
-    )
+    segments, bounces = _report_facts(spark, folder, "device_country", "bounce_rate")
+    report = reports.session_summary(segments, bounces, REPORT_DAY)
     return _rounded(report, "avg_time_on_page", "overall_bounce_rate")
 
 
 def sessions_summary_filtered(spark, folder):
+    segments, bounces = _report_facts(spark, folder, "device_country", "bounce_rate")
     report = reports.session_summary(
-        _fact(spark, folder, "device_country"),
-        _fact(spark, folder, "bounce_rate"),
-        REPORT_DAY,
-        country=" mx ",
-        device="desktop",
+        segments, bounces, REPORT_DAY, country=" mx ", device="desktop"
     )
     return _rounded(report, "avg_time_on_page", "overall_bounce_rate")
 
 
 def anomalies_ranked(spark, folder):
-    report = reports.ranked_anomalies(_fact(spark, folder, "anomalies"), REPORT_DAY)
+    (sessions,) = _report_facts(spark, folder, "anomalies")
+    report = reports.ranked_anomalies(sessions, REPORT_DAY)
     return report.select("*", *[F.col("z_score")[f].alias(f"z_{f}") for f in anomaly.FEATURES]).drop(
         "z_score"
     )
@@ -460,6 +516,9 @@ _QUERIES = {
     "dim_date": dim_date,
     "dims_insert_absent": dims_insert_absent,
     "countries_insert_absent": countries_insert_absent,
+    "device_dimension_use": device_dimension_use,
+    "fact_load_append": fact_load_append,
+    "fact_load_replace_all": fact_load_replace_all,
     "fact_load_replace_day": fact_load_replace_day,
     "pages_top_time": pages_top_time,
     "pages_top_bounce": pages_top_bounce,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,21 +44,25 @@ def on_day(df: DataFrame, run_date: str | None) -> DataFrame:
 def read_event_days(spark: SparkSession, base: str, run_date: str | None = None) -> DataFrame:
     """Events of one day, or of all days, from ``base/year=/month=/day=``.
 
-    The day becomes a filter on the partition columns, so other days' folders are
-    pruned from the scan.
+    For a day only its own folder is listed; a day without a folder has no events.
     """
     scan = (
         spark.read.schema(EVENT_SCHEMA)
         .option("basePath", base)
         .option("pathGlobFilter", "*.json*")
-        .json(base)
     )
     day = parse_day(run_date)
-    if day is not None:
-        scan = scan.filter(
-            (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
-        )
-    return on_day(with_time_columns(scan.drop(*_LAYOUT)), run_date)
+    if day is None:
+        return with_time_columns(scan.json(base).drop(*_LAYOUT))
+    folder = f"{base.rstrip('/')}/year={day:%Y}/month={day:%m}/day={day:%d}"
+    try:
+        found = scan.json(folder)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return with_time_columns(spark.createDataFrame([], EVENT_SCHEMA))
+    of_day = (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
+    return on_day(with_time_columns(found.filter(of_day).drop(*_LAYOUT)), run_date)
 
 
 def with_day_folders(df: DataFrame, day_column: str = "dt") -> DataFrame:

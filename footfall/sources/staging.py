@@ -34,21 +34,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
-
-
 def _database(spark: SparkSession) -> str:
     app = spark.conf.get("spark.app.id")
     name = _databases.get(app)
     if name is None or not spark.catalog.databaseExists(name):
-        name = f"footfall_stage_{uuid4().hex[:12]}"
-        spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
-        _databases[app] = name
+        name = _databases[app] = _new_database(spark)
     return name
 
 
+def _new_database(spark: SparkSession) -> str:
+    name = f"footfall_stage_{uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
+    return name
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new, unused path in the shared folder, beside the staged tables."""
+    return f"{shared_folder(spark)}/{_database(spark)}/{label}-{uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str, sort_by: str | None = None) -> DataFrame:
     """Write ``df`` as a staged table now and return a frame reading it.
 
@@ -76,3 +80,24 @@ def staging_scope(spark: SparkSession):
         _scope.reset(token)
         for table in tables:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+@contextmanager
+def workspace(spark: SparkSession):
+    """Remove everything staged, and all scratch folders made, inside the block when it ends.
+
+    The block gets a database of its own below the shared folder, which is dropped with
+    its tables and files. Results must be written or collected before the block ends.
+    A workspace belongs to the application: do not open two in threads at a time.
+    """
+    app = spark.conf.get("spark.app.id")
+    outer = _databases.get(app)
+    own = _databases[app] = _new_database(spark)
+    try:
+        yield
+    finally:
+        if outer is None:
+            _databases.pop(app, None)
+        else:
+            _databases[app] = outer
+        spark.sql(f"DROP DATABASE IF EXISTS {own} CASCADE")

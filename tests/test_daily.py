@@ -1,15 +1,17 @@
 import json
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from test_validation import COMMON, VALID
 
+from footfall.operators.cleaning import clean_events, impute_device
 from footfall.operators.metrics import METRIC_SCHEMAS, METRICS
 from footfall.plans.daily import run, run_daily
 from footfall.sources.events import read_event_days, read_events, write_event_days
 from footfall.sources.metric_store import read_days, read_metric, table_path
-from footfall.sources.staging import scratch_path, shared_folder, stage, staging_scope
+from footfall.sources.staging import scratch_path, shared_folder, stage, staging_scope, workspace
 
 
 def line(i, day, kind="page_view", **more):
@@ -139,3 +141,40 @@ class Session:
 def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session)
+
+
+def test_workspace_leaves_nothing(spark, events):
+    folder = Path(shared_folder(spark))
+    stage(spark.range(1), "kept")
+    databases = {d.name for d in spark.catalog.listDatabases()}
+    before = set(folder.iterdir())
+    with workspace(spark):
+        clean_events(events({"device_type": None}, {"device_type": "mobile"})).collect()
+        spark.range(3).write.parquet(scratch_path(spark, "made"))
+        assert set(folder.iterdir()) > before
+    assert {d.name for d in spark.catalog.listDatabases()} == databases
+    assert set(folder.iterdir()) == before
+
+
+def test_one_day_lists_one_folder(spark, tmp_path):
+    base = str(tmp_path / "events")
+    for day in ("2026-05-21", "2026-05-22"):
+        line = json.dumps({"event_id": day, "event_type": "click", "timestamp": f"{day}T08:00:00Z"})
+        year, month, number = day.split("-")
+        folder = tmp_path / "events" / f"year={year}" / f"month={month}" / f"day={number}"
+        folder.mkdir(parents=True)
+        (folder / "a.jsonl").write_text(line + "\n")
+    one = read_event_days(spark, base, "2026-05-22")
+    assert [r.event_id for r in one.collect()] == ["2026-05-22"]
+    assert len(one.inputFiles()) == 1
+    none = read_event_days(spark, base, "2026-05-23")
+    assert none.columns == one.columns and none.count() == 0
+
+
+def test_only_rows_without_device_are_joined(spark, events):
+    devices = spark.createDataFrame([("U1", "tablet")], "user_id string, __modal_device string")
+    rows = events({"device_type": None}, {"device_type": "mobile"}, {"user_id": "U9", "device_type": None})
+    filled = impute_device(rows, devices)
+    assert {r.event_id: r.device_type for r in filled.collect()} == {
+        "E0": "tablet", "E1": "mobile", "E2": "UNKNOWN",
+    }
