@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
         )
         for _ in range(2):
             over = hook.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            hook = stage(hook.join(over, "up").select("node", F.col("top").alias("up")), "hooks")
+            hook = hook.join(over, "up").select("node", F.col("top").alias("up"))
+        hook = stage(hook, "hooks")
         to_a = hook.select(F.col("node").alias("a"), F.col("up").alias("ca"))
         to_b = hook.select(F.col("node").alias("b"), F.col("up").alias("cb"))
         links = stage(

@@ -28,8 +28,11 @@ BANDS, ROWS = 14, 4
 CELLS = 1 << 16
 #: Texts that are compared with one leader, or block with block, in a task's group.
 GROUP = 256
-#: Rounds at most in which large mixed buckets get another leader before blocks are compared.
-LEADER_ROUNDS = 2
+#: Rounds at most in which mixed buckets with more than LEADER_ABOVE texts outside their
+#: largest component get another leader before blocks are compared.
+LEADER_ROUNDS, LEADER_ABOVE = 2, 8 * GROUP
+#: Bits of the table that keeps most texts without a candidate out of the shuffle; 4 MB at any size.
+FILTER_BITS = 1 << 25
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -358,6 +361,36 @@ def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
     return stage(marked.join(kept, "band"), "mixed_members")
 
 
+def _with_candidates(texts: DataFrame, met: DataFrame) -> DataFrame:
+    """(id, text) of the ids in ``met``; of rows that repeat an id the largest text.
+
+    Hashed ids are first looked up in a bitmap of FILTER_BITS bits, which is broadcast as
+    at most FILTER_BITS / 32768 rows of 4 KB. The join with the ids decides; where the
+    bitmap is full it only spares nothing.
+    """
+
+    def place(id_):
+        return F.pmod(F.xxhash64(id_), F.lit(FILTER_BITS)) + 1
+
+    bitmap = stage(
+        met.groupBy(F.bitmap_bucket_number(place(F.col("id"))).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place(F.col("id")))).alias("bits")
+        ),
+        "bitmap",
+    )
+    at = F.bitmap_bit_position(F.col("place"))
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    likely = (
+        texts.withColumn("place", place(F.col("id")))
+        .withColumn("bucket", F.bitmap_bucket_number("place"))
+        .join(F.broadcast(bitmap), "bucket")
+        .filter(F.getbit(byte, (at % 8).cast("int")) == 1)
+        .select("id", "text")
+    )
+    found = likely.join(met.select("id").distinct(), "id", "left_semi")
+    return found.groupBy("id").agg(F.max("text").alias("text"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -372,7 +405,7 @@ def near_duplicates(
 
     Every text is first compared with one leader, the smallest id in any of its
     buckets, in groups of ``GROUP``; its words move once. Buckets that then hold more
-    than ``GROUP`` texts outside their largest component compare all with another
+    than ``LEADER_ABOVE`` texts outside their largest component compare all with another
     leader from there. In buckets that are still mixed, every text outside the largest
     component is compared with all others, block by block. So each pair of texts that
     shares a bucket is joined in the end or has been compared, and a group of texts
@@ -406,12 +439,7 @@ def near_duplicates(
         "buckets",
     )
     met = stage(bands.join(buckets, "band"), "met")
-    pool = stage(
-        texts.join(met.select("id").distinct(), "id", "left_semi")
-        .groupBy("id")
-        .agg(F.max("text").alias("text")),
-        "pool",
-    )
+    pool = stage(_with_candidates(texts, met), "pool")
     check = _verify(weights, similarity)
 
     stars = met.groupBy("id").agg(F.min("lead").alias("lead")).filter("id <> lead")
@@ -422,7 +450,7 @@ def near_duplicates(
     members = met.select("band", "id")
     mixed = _mixed(members, links)
     for _ in range(LEADER_ROUNDS):
-        large = mixed.filter(F.col("rest") > GROUP)
+        large = mixed.filter(F.col("rest") > LEADER_ABOVE)
         if large.isEmpty():
             break
         lead = stage(
