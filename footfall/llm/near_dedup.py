@@ -387,7 +387,8 @@ def _with_candidates(texts: DataFrame, met: DataFrame) -> DataFrame:
         .filter(F.getbit(byte, (at % 8).cast("int")) == 1)
         .select("id", "text")
     )
-    found = likely.join(met.select("id").distinct(), "id", "left_semi")
+    # an inner join: the optimizer would move a semi join below the lookup
+    found = likely.join(met.select("id").distinct(), "id")
     return found.groupBy("id").agg(F.max("text").alias("text"))
 
 

@@ -162,6 +162,20 @@ def test_minimal_perfect_hash(n):
 
 
 # --- near copies ---------------------------------------------------------------------------------
+def test_candidates_are_looked_up_before_texts_move(spark):
+    frame = docs(spark, *"abcdef", ids=[1, 2, 2, 3, None, 4]).selectExpr("doc_id AS id", "text")
+    met = spark.createDataFrame([(2,), (2,), (4,)], "id long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        found = near_dedup._with_candidates(frame, met)
+        assert {(r.id, r.text) for r in found.collect()} == {(2, "c"), (4, "f")}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_near_copies(spark):
     base, other = prose(1), prose(2)
     changed = [*base[:60], "new", *base[61:]]
