@@ -1,9 +1,9 @@
 """Near-duplicate texts by consistent weighted sampling.
 
-Five-word shingles are weighted by TF-IDF. Improved consistent weighted samples of
-a text agree with those of another one with the probability of their weighted
-Jaccard similarity; bands of samples find candidates, and the weighted Jaccard of
-the whole shingle sets decides.
+Improved consistent weighted samples of a text's five-word shingles, weighted by their
+counts, agree with those of another one with the probability of their Jaccard
+similarity; bands of samples find candidates. The Jaccard similarity of the whole
+shingle sets under TF-IDF decides, with exact document frequencies over all texts.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stage
@@ -22,10 +22,9 @@ from footfall.llm.components import components
 
 SIMILARITY = 0.8
 WORDS = 5
-#: Bands of samples: a pair of similarity 0.8 is missed with probability 0.0006.
-BANDS, ROWS = 14, 4
-#: Cells that shingles are hashed to when document frequencies are counted.
-CELLS = 1 << 16
+#: Bands of samples. IDF lies between 1 and 2, so a pair of TF-IDF similarity 0.8 has one of
+#: 2/3 at least without IDF; it is missed with probability 0.0002 there, under 1e-7 at 0.8.
+BANDS, ROWS = 24, 3
 #: Texts that are compared with one leader, or block with block, in a task's group.
 GROUP = 256
 #: Rounds at most in which mixed buckets with more than LEADER_ABOVE texts outside their
@@ -33,6 +32,8 @@ GROUP = 256
 LEADER_ROUNDS, LEADER_ABOVE = 2, 8 * GROUP
 #: Bits of the table that keeps most texts without a candidate out of the shuffle; 4 MB at any size.
 FILTER_BITS = 1 << 25
+#: Powers of two that bound the bits of the table that keeps other shingles out of the count.
+SHINGLE_BITS = 20, 28
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -101,21 +102,14 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Weights:
-    """Inverse document frequencies from counts per cell; between 1 and 2 for every shingle.
+    """Inverse document frequencies times counts; the former lie between 1 and 2."""
 
-    Cells also hold what other shingles add. The mean load of a cell and three
-    times its spread are taken off, so only shingles that are common for the size
-    of the corpus lose weight, at most half.
-    """
-
-    def __init__(self, cells: np.ndarray, documents: int):
-        load = cells.mean()
-        df = np.maximum(1.0, cells - load - 3 * np.sqrt(load))
-        n = max(documents, 2)
-        self.table = (1 + np.log(np.maximum(n / df, 1.0)) / np.log(n)).astype(np.float32)
+    def __init__(self, documents: int):
+        self.documents = max(documents, 2)
 
-    def of(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        return self.table[(hashes >> _U(48)).astype(np.int64)] * tf.astype(np.float32)
+    def of(self, df: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        n = float(self.documents)
+        return (1 + np.log(np.maximum(n / df, 1.0)) / np.log(n)) * tf
 
 
 # --- consistent weighted sampling ----------------------------------------------------------
@@ -191,65 +185,139 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells = np.zeros(CELLS, np.int64)
+def corpus_weights(texts: DataFrame) -> Weights:
+    return Weights(texts.count())
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import xxhash
+
     for batch in batches:
         texts = batch.column("text").to_pylist()
+        nodes: list[int | None] = []
+        bands: list[np.ndarray | None] = []
         for a, b in _chunks(texts):
-            hashes, _, _ = shingles(texts[a:b])
-            cells += np.bincount((hashes >> _U(48)).astype(np.int64), minlength=CELLS)
-    at = np.flatnonzero(cells)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(at.astype(np.int32)), pa.array(cells[at])], ["cell", "n"]
-    )
+            hashes, tf, per_text = shingles(texts[a:b])
+            if len(hashes):
+                found = band_keys(samples(hashes, tf.astype(np.float32), per_text))
+            row, at = 0, 0
+            for n in per_text.tolist():
+                if not n:
+                    nodes.append(None)
+                    bands.append(None)
+                    continue
+                whole = hashes[at : at + n].tobytes() + tf[at : at + n].tobytes()
+                nodes.append(xxhash.xxh3_64_intdigest(whole) - (1 << 63))
+                bands.append(found[row])
+                row, at = row + 1, at + n
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("row"), pa.array(nodes, pa.int64()),
+             pa.array(bands, pa.list_(pa.int64()))],
+            ["id", "row", "node", "bands"],
+        )
+
+
+# --- document frequencies --------------------------------------------------------------------
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, h): the shingles of each part of the pool."""
+    for batch in batches:
+        texts, parts = batch.column("text").to_pylist(), batch.column("part").to_numpy()
+        for part in np.unique(parts):
+            found = [np.zeros(0, _U)]
+            own = [texts[i] for i in np.flatnonzero(parts == part)]
+            for a, b in _chunks(own):
+                found.append(np.unique(shingles(own[a:b])[0]))
+            h = np.unique(np.concatenate(found)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(h), part, np.int64)), pa.array(h)], ["part", "h"]
+            )
 
 
-def corpus_weights(texts: DataFrame) -> Weights:
-    """Document frequencies over all texts, in a table of fixed size."""
-    counted = texts.select("text").mapInArrow(_count_cells, "cell int, n long")
-    rows = stage(counted.groupBy("cell").agg(F.sum("n").alias("n")), "frequencies")
-    found = rows.toPandas()  # at most CELLS rows of two numbers
-    cells = np.zeros(CELLS, np.int64)
-    cells[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return Weights(cells, texts.count())
+def _shingle_bitmap(wanted: DataFrame) -> np.ndarray:
+    """Bits at the wanted shingles; 16 for each as far as SHINGLE_BITS allows, so 32 MB at most."""
+    low, high = SHINGLE_BITS
+    bits = 1 << min(max((16 * wanted.count()).bit_length(), low), high)
+    place = F.col("h").bitwiseAND(F.lit(bits - 1).cast("long")) + 1
+    rows = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    table = np.zeros(bits >> 3, np.uint8)
+    for row in rows.toLocalIterator():  # rows of 4 KB
+        at = (row.bucket - 1) << 12
+        table[at : at + 4096] = np.frombuffer(row.bits, np.uint8)
+    return table
 
 
-def _signatures(weights: Weights):
-    import xxhash
+def _count_shingles(bitmap: np.ndarray):
+    last = _U(8 * len(bitmap) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("id"), batch.column("text").to_pylist()
-            keys: list[bytes | None] = []
-            bands: list[np.ndarray | None] = []
+            texts = batch.column("text").to_pylist()
+            found = [np.zeros(0, _U)]
             for a, b in _chunks(texts):
-                hashes, tf, per_text = shingles(texts[a:b])
-                if len(hashes):
-                    found = band_keys(samples(hashes, weights.of(hashes, tf), per_text))
-                row, at = 0, 0
-                for n in per_text.tolist():
-                    if not n:
-                        keys.append(None)
-                        bands.append(None)
-                        continue
-                    whole = hashes[at : at + n].tobytes() + tf[at : at + n].tobytes()
-                    keys.append(xxhash.xxh3_128_digest(whole))
-                    bands.append(found[row])
-                    row, at = row + 1, at + n
+                hashes, _, _ = shingles(texts[a:b])
+                at = (hashes & last).astype(np.int64)
+                found.append(hashes[(bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1])
+            h, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["id", "key", "bands"],
+                [pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"]
             )
 
     return run
 
 
+def _put_frequencies(pool: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+    found = found.drop_duplicates("h").sort_values("h")
+    h, n = found["h"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    df = []
+    for text in pool["text"]:
+        own = shingles([text])[0].view(np.int64)
+        count = np.ones(len(own), np.int64)
+        if len(h):
+            at = np.minimum(np.searchsorted(h, own), len(h) - 1)
+            count = np.where(h[at] == own, n[at], count)
+        df.append(count)
+    return pd.DataFrame({"id": pool["id"], "text": pool["text"], "df": df})
+
+
+def with_frequencies(pool: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pool(id, text)`` with df: for each shingle of a text the number of ``texts`` that hold it.
+
+    Shingles of the pool are counted by their whole hashes over all texts, combined in
+    map tasks. Those of other texts are kept out by a bitmap; where it is full it only
+    spares nothing. Counts return by parts of about GROUP texts, so a shingle that very
+    many texts hold is joined once per part and not once per text.
+    """
+    parts = F.lit(max(1, -(-pool.count() // GROUP)))
+    pool = stage(
+        pool.withColumn("part", F.pmod(F.xxhash64("id"), parts)).repartition("part"),
+        "pool_parts", "part",
+    )
+    wanted = stage(pool.select("text", "part").mapInArrow(_wanted, "part long, h long"), "wanted")
+    bitmap = _shingle_bitmap(wanted)
+    counted = texts.select("text").mapInArrow(_count_shingles(bitmap), "h long, n long")
+    counts = stage(
+        counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1"), "frequencies"
+    )
+    found = wanted.join(counts, "h").select("part", "h", "n")
+    put = pool.groupBy("part").cogroup(found.groupBy("part"))
+    return put.applyInPandas(
+        lambda a, b: _put_frequencies(a, b), "id long, text string, df array<long>"
+    )
+
+
+# --- comparison ------------------------------------------------------------------------------
 def _verify(weights: Weights, least: float):
-    """Links between the texts of side 0 and side 1 of a group that are not joined yet."""
+    """Links between the texts of side 0 and side 1 of a group that are not joined yet.
+
+    Without a column df every shingle counts as one text's.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         hashes, tf, per_text = shingles(frame["text"].tolist())
-        w = weights.of(hashes, tf).astype(np.float64)
+        df = np.concatenate(frame["df"].tolist()) if "df" in frame else np.ones(len(tf))
+        w = weights.of(df, tf)
         ends = np.cumsum(per_text)
         starts = ends - per_text
         total = np.add.reduceat(w, starts)
@@ -392,6 +460,11 @@ def _with_candidates(texts: DataFrame, met: DataFrame) -> DataFrame:
     return found.groupBy("id").agg(F.max("text").alias("text"))
 
 
+def row_hash(id_: Column, text: Column) -> Column:
+    """What tells rows apart that share an id but not the text."""
+    return F.xxhash64(id_.cast("long"), F.coalesce(text, F.lit("")))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -402,9 +475,9 @@ def near_duplicates(
 
     A class is a connected component of links of at least ``similarity``; its id is
     its smallest doc_id, which is the row to keep. Texts with equal shingles and
-    counts are one text from the start.
+    counts are one text, and one node of the links, from the start.
 
-    Every text is first compared with one leader, the smallest id in any of its
+    Every text is first compared with one leader, the smallest node in any of its
     buckets, in groups of ``GROUP``; its words move once. Buckets that then hold more
     than ``LEADER_ABOVE`` texts outside their largest component compare all with another
     leader from there. In buckets that are still mixed, every text outside the largest
@@ -414,23 +487,39 @@ def near_duplicates(
 
     * null text, text without words: a class of its own.
     * repeated rows: in one class; rows that repeat the kept id are all kept.
-    * rows that share an id but not the text: one class, compared by their last text.
+    * rows that share an id but not the text: each in the class of its own text; classes
+      with the same smallest doc_id then share their class_id, but not class_size.
     * null id: never linked, class_id is null. Empty table: no rows.
     * other columns are ignored, whatever their names.
     """
+    return near_classes(docs, id_col, text_col, similarity).drop("row")
+
+
+def near_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """``near_duplicates`` with the ``row_hash`` of each row in a column ``row``."""
+    id_ = F.col(id_col).cast("long")
     texts = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text")
+        id_.alias("id"),
+        F.coalesce(text_col, F.lit("")).alias("text"),
+        row_hash(id_, F.col(text_col)).alias("row"),
     )
-    weights = corpus_weights(texts)
     signed = stage(
-        texts.mapInArrow(_signatures(weights), "id long, key binary, bands array<long>"), "signatures"
+        texts.mapInArrow(_signatures, "id long, row long, node long, bands array<long>"), "signatures"
+    )
+    known = signed.filter("node IS NOT NULL AND id IS NOT NULL")
+    distinct = stage(
+        known.groupBy("node").agg(F.min(F.struct("id", "row")).alias("rep")).select("node", "rep.*"),
+        "distinct_texts",
     )
-    known = signed.filter("key IS NOT NULL AND id IS NOT NULL")
-    distinct = stage(known.groupBy("key").agg(F.min("id").alias("rep")), "distinct_texts")
     bands = stage(
-        known.join(distinct.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-        .dropDuplicates(["id", "key"])
-        .select("id", F.explode("bands").alias("band")),
+        known.join(distinct, ["node", "id", "row"], "left_semi")
+        .dropDuplicates(["node", "id", "row"])
+        .select(F.col("node").alias("id"), F.explode("bands").alias("band")),
         "bands",
     )
     buckets = stage(
@@ -440,8 +529,18 @@ def near_duplicates(
         "buckets",
     )
     met = stage(bands.join(buckets, "band"), "met")
-    pool = stage(_with_candidates(texts, met), "pool")
-    check = _verify(weights, similarity)
+    candidates = stage(
+        distinct.join(met.select(F.col("id").alias("node")).distinct(), "node").select(
+            F.col("row").alias("id"), "node"
+        ),
+        "candidates",
+    )
+    found = _with_candidates(texts.select(F.col("row").alias("id"), "text"), candidates)
+    found = stage(
+        found.join(candidates, "id").select(F.col("node").alias("id"), "text"), "candidate_texts"
+    )
+    pool = stage(with_frequencies(found, texts), "pool")
+    check = _verify(corpus_weights(texts), similarity)
 
     stars = met.groupBy("id").agg(F.min("lead").alias("lead")).filter("id <> lead")
     stars = stars.select(
@@ -467,23 +566,28 @@ def near_duplicates(
     links = links.unionByName(_block_links(mixed, pool, check))
     classes = components(links)
     named = stage(
-        distinct.join(classes, F.col("rep") == F.col("id"), "left").select(
-            F.col("key").alias("k"), F.coalesce("component", "rep").alias("class")
+        distinct.join(classes, F.col("node") == classes["id"], "left").select(
+            F.col("node").alias("k"), F.coalesce("component", "node").alias("class")
         ),
         "classes",
     )
     rows = stage(
-        signed.join(named, F.col("key") == F.col("k"), "left").select(
-            "id", F.coalesce("class", "id").alias("class")
+        signed.join(named, F.col("node") == F.col("k"), "left").select(
+            "id", "row", F.when(F.col("id").isNotNull(), F.coalesce("class", "row")).alias("class")
         ),
         "members",
     )
     counts = stage(
-        rows.groupBy("class").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "class_sizes"
+        rows.groupBy("class")
+        .agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"))
+        .filter("size > 1"),
+        "class_sizes",
     ).withColumnRenamed("class", "c")
+    class_id = F.coalesce("least", "id")
     return rows.join(counts, F.col("class") == F.col("c"), "left").select(
         F.col("id").alias("doc_id"),
-        F.col("class").alias("class_id"),
+        class_id.alias("class_id"),
         F.coalesce("size", F.lit(1)).alias("class_size"),
-        F.col("id").eqNullSafe(F.col("class")).alias("kept"),
+        F.col("id").eqNullSafe(class_id).alias("kept"),
+        "row",
     )

@@ -1,7 +1,9 @@
 """Each operator on small frames: nulls, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -188,6 +190,52 @@ def test_near_copies(spark):
     assert near_dedup.near_duplicates(docs(spark)).count() == 0
 
 
+def five_word_runs(text):
+    words = text.lower().split()
+    return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def links_of_all_pairs(texts, similarity=0.8):
+    """Links under TF-IDF with exact document frequencies, and each text's frequencies."""
+    runs = [five_word_runs(t) for t in texts]
+    df = Counter(run for found in runs for run in found)
+
+    def idf(run):
+        return 1 + math.log(len(texts) / df[run]) / math.log(len(texts))
+
+    links = set()
+    for i, a in enumerate(runs):
+        for j, b in enumerate(runs[:i]):
+            if len(a.keys() & b.keys()) * 2 < len(a):  # never alike: IDF is 2 at most
+                continue
+            common = sum(min(n, b[run]) * idf(run) for run, n in a.items())
+            either = sum(max(a[run], b[run]) * idf(run) for run in a.keys() | b.keys())
+            if common >= similarity * either:
+                links.add((j, i))
+    return links, [sorted(df[run] for run in found) for found in runs]
+
+
+def test_document_frequencies_are_exact(spark):
+    shared = prose(900, 130)
+    texts = [" ".join(prose(i, 120)) for i in range(250)]
+    hot = prose(901, 60)  # a third of the rows
+    texts += [" ".join([*hot[: i % 60], f"copy{i}", *hot[i % 60 :]]) for i in range(125)]
+    # alike in 126 of 156 runs: linked if each run counts as one text's, not at three texts each
+    texts += [" ".join(shared + prose(910 + i, 15)) for i in range(3)]
+    links, frequencies = links_of_all_pairs(texts)
+    frame = docs(spark, *texts)
+    pool = frame.select(F.col("doc_id").alias("id"), "text")
+    got = near_dedup.with_frequencies(pool, frame.select("text")).collect()
+    assert {r.id: sorted(r.df) for r in got} == dict(enumerate(frequencies))
+    rows = near_dedup.near_duplicates(frame).collect()
+    classes = list(range(len(texts)))
+    for a, b in sorted(links):
+        low, high = sorted((classes[a], classes[b]))
+        classes = [low if c == high else c for c in classes]
+    assert {r.doc_id: r.class_id for r in rows} == dict(enumerate(classes))
+    assert {r.class_id for r in rows if r.doc_id >= 375} == {375, 376, 377}
+
+
 def test_mixed_buckets_are_compared_in_blocks(spark):
     texts = {i: " ".join(prose(i % 3)) for i in range(9)}
     frame = docs(spark, *texts.values())
