@@ -40,11 +40,15 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each class of near copies."""
+    """The row with the smallest id of each class of near copies.
+
+    Rows are told apart by id and text, so another text of a dropped id stays.
+    """
     ship_package(spark)
-    dropped = near_dedup.near_duplicates(docs).filter("NOT kept")
-    dropped = dropped.select(F.col("doc_id").alias("k")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("k"), "left_anti")
+    dropped = near_dedup.near_classes(docs).filter("NOT kept")
+    dropped = dropped.select(F.col("doc_id").alias("k"), F.col("row").alias("r")).distinct()
+    row = near_dedup.row_hash(F.col("doc_id"), F.col("text"))
+    return docs.join(dropped, (F.col("doc_id") == F.col("k")) & (row == F.col("r")), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from footfall.llm import (
     bpe, chat, exact_dedup, language, mixing, near_dedup, separator_scan, token_index, toxicity,
     vectors,
@@ -236,6 +237,22 @@ def test_document_frequencies_are_exact(spark):
     assert {r.class_id for r in rows if r.doc_id >= 375} == {375, 376, 377}
 
 
+def test_an_id_with_several_texts(spark):
+    base = prose(1)
+    near, other = " ".join([*base[:60], "new", *base[61:]]), " ".join(prose(2))
+    odd = " ".join([*prose(2)[:50], "new", *prose(2)[51:]])
+    texts = [" ".join(base), other, near, "~~~", None, odd, None]
+    frame = docs(spark, *texts, ids=[3, 5, 5, 5, 5, 9, None])
+    rows = near_dedup.near_classes(frame).collect()
+    got = sorted((r.doc_id or 0, r.class_id or 0, r.class_size, r.kept) for r in rows)
+    assert got == [(0, 0, 1, True), (3, 3, 2, True), (5, 3, 2, False), (5, 5, 1, True),
+                   (5, 5, 1, True), (5, 5, 2, True), (9, 5, 2, False)]
+    kept = corpus_pipeline.drop_near_copies(spark, frame, "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted(
+        [(0, ""), (3, texts[0]), (5, other), (5, "~~~"), (5, "")]
+    )
+
+
 def test_mixed_buckets_are_compared_in_blocks(spark):
     texts = {i: " ".join(prose(i % 3)) for i in range(9)}
     frame = docs(spark, *texts.values())
