@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ _MISS = math.log(1 - _IN_PASSAGE)
 _WORD = re.compile(r"[^\W\d_]+")
 _BEGINNINGS = range(3, 9)  # lengths of word beginnings that are tokens
 _CACHED_WORDS = 500_000
+_MINIMA = 16  # of a training row; near copies share half of them
+_UNIT = 1 << 20  # one row's weight; integers add up alike in any order
 
 
 def tokens_of(word: str) -> list[str]:
@@ -131,9 +134,11 @@ def fit(
 ) -> Model:
     """Fit on at most ``most_rows`` labelled rows that are not held out.
 
-    Near copies are counted once: rows that share their smallest hashed run of five
-    words add to a word's count together. Without labelled rows of both kinds the
-    model has no words and gives every text the same low score.
+    Near copies are counted once: of rows that share their smallest hashed run of five
+    words, each weighs one by the number of those that also share half of its other
+    minima, so that rows with no more than a passage in common count in full. Without
+    labelled rows of both kinds the model has no words and gives every text the same low
+    score.
     """
     rows = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = (
@@ -145,16 +150,28 @@ def fit(
     )
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     train = texts.join(F.broadcast(chosen), "id")  # at most most_rows ids and flags
-    counted = stage(train.mapInArrow(_train_rows, "id long, toxic int, key long, words array<string>"), "toxic_train")
-    once = counted.groupBy("key", "toxic").agg(F.min_by("words", "id").alias("words"))
+    counted = stage(
+        train.mapInArrow(
+            _train_rows, "id long, toxic int, key long, minima array<long>, words array<string>"
+        ).withColumn("at", F.monotonically_increasing_id()),
+        "toxic_train",
+    )
+    shares = stage(
+        counted.select("at", "toxic", "key", "minima")
+        .groupBy("key", "toxic")
+        .applyInPandas(lambda rows: _shares(rows), "at long, share long"),
+        "toxic_shares",
+    )
     counts = (
-        once.select("toxic", F.explode("words").alias("word"))
+        counted.join(shares, "at")
+        .select("toxic", "share", F.explode("words").alias("word"))
         .groupBy("word")
-        .agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all"))
+        .agg(F.sum(F.col("toxic") * F.col("share")).alias("bad"), F.sum("share").alias("all"))
     )
     counts = stage(counts, "toxic_words")
     sums = counts.agg(F.sum("bad"), F.sum("all")).first()
-    bad, everything = sums[0] or 0, sums[1] or 0
+    bad, everything = (sums[0] or 0) / _UNIT, (sums[1] or 0) / _UNIT
+    counts = counts.select("word", (F.col("bad") / _UNIT).alias("bad"), (F.col("all") / _UNIT).alias("all"))
     if not bad or bad == everything:
         return Model()
     prior = _PRIOR_SHARE * everything
@@ -200,20 +217,40 @@ def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        keys, words_of = [], []
+        keys, minima, words_of = [], [], []
         for text in batch.column("text").to_pylist():
             words = _WORD.findall(text.lower())
             runs = (" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
-            least = min(xxhash.xxh3_64_intdigest(run) for run in runs)
-            keys.append(least - (1 << 63))
+            hashes = np.array([xxhash.xxh3_64_intdigest(run) for run in runs], np.uint64)
+            keys.append(int(hashes.min()) - (1 << 63))
+            minima.append(_minima(hashes))
             words_of.append(sorted({t for w in set(words) for t in tokens_of(w)}))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id").cast(pa.int64()), batch.column("toxic"),
-             pa.array(keys, pa.int64()), pa.array(words_of, pa.list_(pa.string()))],
-            ["id", "toxic", "key", "words"],
+            [batch.column("id").cast(pa.int64()), batch.column("toxic"), pa.array(keys, pa.int64()),
+             pa.array(minima, pa.list_(pa.int64())), pa.array(words_of, pa.list_(pa.string()))],
+            ["id", "toxic", "key", "minima", "words"],
         )
 
 
+def _minima(hashes: np.ndarray) -> np.ndarray:
+    out = np.zeros(_MINIMA, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(_MINIMA):
+            mixed = (hashes ^ np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xD6E8FEB86659FD93)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            out[k] = (mixed ^ (mixed >> np.uint64(32))).min()
+    return out.view(np.int64)
+
+
+def _shares(rows: pd.DataFrame) -> pd.DataFrame:
+    """Each row's weight: one by the number of rows that share half of its minima, itself included."""
+    minima = np.stack(rows["minima"].tolist())
+    alike = np.zeros(len(rows), np.int64)
+    for i, own in enumerate(minima):  # at most the bounded number of training rows
+        alike[i] = ((minima == own).sum(axis=1) * 2 >= _MINIMA).sum()
+    return pd.DataFrame({"at": rows["at"], "share": _UNIT // alike})
+
+
 def _calibrate(model: Model, train: DataFrame) -> None:
     """Rate of segments in harmless training rows, then the logistic curve on all of them."""
     least = min(model.weights.values())

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -317,6 +318,17 @@ def test_toxicity_learns_and_leaves_clean_rows(spark):
     assert {r.predicted for r in toxicity.score(df, empty).collect()} == {0}
 
 
+def test_toxic_rows_with_a_passage_in_common_all_count(spark):
+    least = min(range(3000), key=lambda s: xxhash.xxh3_64_intdigest(" ".join(prose(s, 5))))
+    passage = prose(least, 5)  # its only run of five words is the smallest of nearly every row
+    texts = [" ".join(prose(5000 + i, 25) + (["vile", *passage] if i % 4 == 0 else [])) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    assert "vile" in toxicity.fit(docs(spark, *texts), labels).weights
+    copies = [" ".join(prose(7000 + i, 25)) for i in range(150)] + [" ".join([*prose(2), "vile"])] * 50
+    labels = spark.createDataFrame([(i, int(i >= 150)) for i in range(200)], "doc_id long, toxic int")
+    assert "vile" not in toxicity.fit(docs(spark, *copies), labels).weights
+
+
 def test_language_fusion(spark):
     de, en = "der die und nicht eine mit ", "the and of with not from "
     train = spark.createDataFrame(
