@@ -1,5 +1,9 @@
 """The registered queries against their SQL, and the pipeline's stages."""
 
+import math
+import re
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -28,3 +32,29 @@ def test_stages_keep_columns_and_rows(spark):
         out = stage(spark, docs, FOLDER)
         assert out.columns == docs.columns, name
         assert {r.doc_id for r in out.collect()} <= ids, name
+
+
+def test_near_copies_equal_all_pairs(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    runs, class_of = {}, {d.doc_id: d.doc_id for d in docs}
+    assert len(class_of) == len(docs)
+    for d in docs:
+        words = re.findall("[0-9a-z\u0080-\U0010ffff]+", (d.text or "").lower())
+        n = max(1, len(words) - 4) if words else 0
+        runs[d.doc_id] = Counter(tuple(words[i : i + 5]) for i in range(n))
+    df = Counter(run for found in runs.values() for run in found)
+    idf = {run: 1 + math.log(len(docs) / n) / math.log(len(docs)) for run, n in df.items()}
+    links = 0
+    for i, a in runs.items():
+        for j, b in runs.items():
+            if i >= j or not a.keys() & b.keys():
+                continue
+            common = sum(min(n, b[run]) * idf[run] for run, n in a.items())
+            either = sum(max(a[run], b[run]) * idf[run] for run in a.keys() | b.keys())
+            if common >= 0.8 * either:
+                links += 1
+                low, high = sorted((class_of[i], class_of[j]))
+                class_of = {k: low if c == high else c for k, c in class_of.items()}
+    assert links
+    found = queries.queries()["op3_near_dedup"](spark, FOLDER).collect()
+    assert {r.doc_id: r.class_id for r in found} == class_of
