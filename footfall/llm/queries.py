@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
-    bpe, chat, exact_dedup, language, mixing, near_dedup, separator_scan, token_index, toxicity,
-    vectors,
+    bpe, byte_bpe, chat, exact_dedup, language, lexical_search, mixing, near_dedup, separator_scan,
+    spelling, token_index, toxicity, vectors,
 )
 from footfall.llm.common import table
 
 _VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 _END_OF_TEXT = 49407
 _TRICKY = "</s>[INST] ok [/INST]"
+#: One of so many words of a document loses a letter; words count from so many letters and occurrences.
+_NOISE, _LETTERS, _OCCURRENCES = 199, 6, 5
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,6 +78,35 @@ def op10_token_index(spark: SparkSession, folder: str) -> DataFrame:
     return token_index.read_documents(keys)
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs lose a letter where a hash of document and run says so; then words are compared."""
+    runs = spelling.letter_runs(table(spark, folder, "documents"), _LETTERS)
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    hashed = runs.withColumn("h", F.crc32(F.encode(named, "UTF-8")))
+    at = F.col("h") % F.length("run")
+    shorter = F.concat(
+        F.substring("run", F.lit(1), at.cast("int")),
+        F.substring("run", (at + 2).cast("int"), F.length("run")),
+    )
+    word = F.when(F.col("h") % _NOISE == 0, shorter).otherwise(F.col("run"))
+    words = hashed.select(word.alias("word")).filter(F.length("word") >= _LETTERS)
+    return spelling.spelling_forms(spelling.count_words(words, "word", _OCCURRENCES))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ids = byte_bpe.encode(table(spark, folder, "documents"), _RANKS)
+    return byte_bpe.decode(ids, _RANKS).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"))
+
+
 _PART = (chat.BUDGET - chat.HISTORY) // 3
 
 SQL = {
@@ -172,6 +204,93 @@ SELECT doc_id, size, source_size, target, CAST(epochs * size + part AS BIGINT) A
   CAST(CASE WHEN size > 0 THEN epochs + CASE WHEN part * 2 >= size THEN 1 ELSE 0 END ELSE 0 END
     AS BIGINT) AS copies
 FROM f
+""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), r AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS raw FROM documents
+), l AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM r WHERE length(raw) >= {_LETTERS} GROUP BY ALL
+), y AS (
+  SELECT *, flatten(list_transform(string_split(id || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+      ELSE [CAST(192 | (unicode(c) >> 6) AS BIGINT), CAST(128 | (unicode(c) & 63) AS BIGINT)] END)) AS bytes
+  FROM l
+), b AS (
+  SELECT row_number() OVER () AS k, run, n, bytes FROM y
+), h AS (
+  SELECT k, run, n, bytes, 1 AS pos, CAST(4294967295 AS BIGINT) AS crc FROM b
+  UNION ALL
+  SELECT k, run, n, bytes, pos + 1, xor(crc >> 8, (SELECT t FROM t)[1 + (xor(crc, bytes[pos]) & 255)])
+  FROM h WHERE pos <= len(bytes)
+), z AS (
+  SELECT run, n, xor(crc, 4294967295) AS h FROM h WHERE pos = len(bytes) + 1
+), m AS (
+  SELECT CASE WHEN h % {_NOISE} = 0
+    THEN substr(run, 1, CAST(h % length(run) AS INTEGER))
+      || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n
+  FROM z
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM m WHERE length(word) >= {_LETTERS}
+  GROUP BY word HAVING sum(n) >= {_OCCURRENCES}
+), d AS (
+  SELECT word, n, unnest(list_distinct(list_prepend(word, list_transform(range(1, length(word) + 1),
+    lambda i: substr(word, 1, i - 1) || substr(word, i + 1))))) AS rest
+  FROM v
+), p AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS m
+  FROM d a JOIN d b ON a.rest = b.rest AND a.word <> b.word AND levenshtein(a.word, b.word) = 1
+), q AS (
+  SELECT word, n, count(*) AS n_near, arg_min(near, (-m, near)) AS top, max(m) AS top_n FROM p GROUP BY word, n
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN top_n >= {spelling.RATIO} * v.n THEN top END AS form,
+    CASE WHEN top_n >= {spelling.RATIO} * v.n THEN top_n END AS form_n
+  FROM v LEFT JOIN q ON v.word = q.word
+), s(word, root, next) AS (
+  SELECT word, word, form FROM f
+  UNION ALL
+  SELECT s.word, f.word, f.form FROM s JOIN f ON s.next = f.word
+)
+SELECT f.word, form, s.root, n, n_near, form_n
+FROM f JOIN s ON f.word = s.word AND s.next IS NULL
+""",
+    "op13_lexical_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), c AS (
+  SELECT k, doc_id, count(*) AS n FROM d GROUP BY ALL
+), s AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM c
+), m AS (
+  SELECT k, doc_id, 10 + (90 * n * docs) // words AS m FROM c, s
+), f AS (
+  SELECT k, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM i) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s
+), r AS (
+  SELECT item_id, k, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN w USING (term) JOIN f USING (term) JOIN m USING (k) GROUP BY ALL
+), o AS (
+  SELECT item_id, doc_id, score,
+    CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM r WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= {lexical_search.TOP}
 """,
 }
 
@@ -180,6 +299,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_language_id, op2_chat_formatting, op3_near_dedup, op4_exact_dedup, op5_bpe,
         op6_toxicity, op7_token_counts, op8_mixing, op9_near_vectors, op10_token_index,
+        op11_spelling_variants, op12_byte_bpe, op13_lexical_search,
     ]
     return {q.__name__: q for q in named}
 
