@@ -243,7 +243,10 @@ WITH RECURSIVE t AS (
   FROM v
 ), p AS (
   SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS m
-  FROM d a JOIN d b ON a.rest = b.rest AND a.word <> b.word AND levenshtein(a.word, b.word) = 1
+  FROM d a JOIN d b ON a.rest = b.rest AND a.word <> b.word
+    AND CASE length(a.word) - length(b.word) WHEN 1 THEN a.rest = b.word WHEN -1 THEN a.rest = a.word
+      WHEN 0 THEN len(list_filter(range(1, length(a.word) + 1),
+        lambda i: substr(a.word, i, 1) <> substr(b.word, i, 1))) = 1 ELSE FALSE END
 ), q AS (
   SELECT word, n, count(*) AS n_near, arg_min(near, (-m, near)) AS top, max(m) AS top_n FROM p GROUP BY word, n
 ), f AS (
