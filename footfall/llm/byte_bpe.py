@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,8 @@ OVERLAP = 1 << 10
 # A match that ends so many signs before a chunk's end is the whole text's: the
 # alternatives of the pattern look at no more than that behind a match.
 _LOOKS_AHEAD = 3
-_CACHED_WORDS, _CACHED_CHARS = 400_000, 64
+_CACHED_WORDS, _CACHED_CHARS = 1 << 17, 64
+_ROWS = 256  # rows that a task returns at once
 
 
 class Ranks:
@@ -44,21 +45,25 @@ class Ranks:
 
     def __init__(self, path: str, pattern: str):
         import regex
-        import tiktoken
 
         with open(path, "rb") as source:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, source)}
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
-        self.known = set(ranks.values())
+            self.ranks = {base64.b64decode(t): int(rank) for t, rank in map(bytes.split, source)}
         self._pattern = regex.compile(pattern)
         self._splits_at_space = pattern == public_tokenizers.PATTERN
-        self._merges = tiktoken.Encoding(
-            "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
-        )
         self._words: dict[str, bytes] = {}
 
+    @cached_property
+    def tokens(self) -> dict[int, bytes]:
+        return {rank: token for token, rank in self.ranks.items()}
+
+    @cached_property
+    def _merges(self):
+        import tiktoken
+
+        return tiktoken.Encoding(
+            "ranks", pat_str=self._pattern.pattern, mergeable_ranks=self.ranks, special_tokens={}
+        )
+
     def split(self, text: str) -> list[str]:
         return self._pattern.findall(text)
 
@@ -114,6 +119,12 @@ def ranks_of(path: str, pattern: str) -> Ranks:
     return Ranks(path, pattern)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def encode(
     docs: DataFrame,
     ranks_path: str,
@@ -142,7 +153,7 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(ranks_path, pattern)
-        for batch in batches:
+        for batch in _parts(batches):
             ids = [ranks.encode(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
@@ -165,7 +176,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(ranks_path, public_tokenizers.PATTERN)
-        for batch in batches:
+        for batch in _parts(batches):
             raw = [
                 None if ids is None else ranks.decode(ids)
                 for ids in batch.column(ids_col).to_pylist()
