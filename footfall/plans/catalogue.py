@@ -6,7 +6,7 @@ tables. Values that depend on summation order are rounded to six places.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.operators import cleaning, ingest, profile, reports, rulesets, warehouse
@@ -15,10 +15,12 @@ from footfall.operators import validation as check
 from footfall.operators.metrics import METRICS
 from footfall.operators.metrics import anomalies as anomaly
 from footfall.plans.daily import run_daily
+from footfall.plans.ingest import IngestTargets
 from footfall.plans.load import load_metric
 from footfall.session import configure
 from footfall.sources import shop_tables as shop
 from footfall.sources.events import on_day, read_event_days, write_event_days
+from footfall.sources.lines import put_bytes
 from footfall.sources.metric_store import (
     APPEND,
     REPLACE_ALL,
@@ -266,10 +268,84 @@ def arrival_ingest(spark, folder):
     day = F.regexp_extract("source_key", "day=([0-9-]+)", 1).cast("date")
     totals = ("records_valid", "records_invalid", "page_view", "click", "search", "product_view",
               "cart_event")
-    files = spark.read.parquet(f"{out}/summaries")
+    files = IngestTargets.under(out).summaries(spark)
     return files.groupBy(day.alias("day")).agg(*[F.sum(c).alias(c) for c in totals])
 
 
+def _landed(spark, folder, compression="none") -> str:
+    """Event lines as one text file per source key, in the order of their events."""
+    base = scratch_path(spark, "arrivals")
+    (
+        shop.event_lines(spark, folder)
+        .repartition("source_key")
+        .sortWithinPartitions("source_key", "ts", "number", "copy")
+        .select("source_key", F.col("line").alias("value"))
+        .write.option("compression", compression)
+        .partitionBy("source_key")
+        .text(base)
+    )
+    return base
+
+
+def _arrived(spark, base, pattern="*.txt*") -> IngestTargets:
+    out = scratch_path(spark, "ingested")
+    query = start_ingest(
+        spark, base, base, out, scratch_path(spark, "progress"), _SOURCE, pattern=pattern
+    )
+    query.awaitTermination()
+    return IngestTargets.under(out)
+
+
+def _landed_key() -> Column:
+    """The source key that a landed file stands for: its folder's, without the part's name."""
+    return F.url_decode(F.regexp_extract("source_key", "^source_key=([^/]+)/", 1))
+
+
+def arrival_rejects(spark, folder):
+    """Rejected lines where the files' summaries say they are kept, through the manifest."""
+    results = _arrived(spark, _landed(spark, folder))
+    keys = results.summaries(spark).filter("NOT is_corrupt").select("quarantine_key")
+    return results.rejects(spark).join(keys, "quarantine_key").select(
+        _landed_key().alias("source_key"), "line_number", "error_reason"
+    )
+
+
+def arrival_whole_files(spark, folder):
+    """Every line of the files that were set aside as a whole, with its number."""
+    results = _arrived(spark, _landed(spark, folder))
+    keys = results.summaries(spark).filter("is_corrupt").select("quarantine_key")
+    return results.whole_files(spark).join(keys, "quarantine_key").select(
+        _landed_key().alias("source_key"), "line_number", "line"
+    )
+
+
+def arrival_summary(spark, folder):
+    results = _arrived(spark, _landed(spark, folder))
+    return results.summaries(spark).select(
+        _landed_key().alias("source_key"), "size_bytes", "records_valid", "records_invalid",
+        "invalid_ratio", "is_corrupt", "quarantine_count", "quarantine_reason",
+    )
+
+
+def arrival_retry(spark, folder):
+    """Compressed files, two of which also arrive a second time cut in half: those alone fail."""
+    base = _landed(spark, folder, "gzip")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    ends = files.agg(F.min("path").alias("a"), F.max("path").alias("b")).first()
+    for path in {ends.a, ends.b} - {None}:
+        whole = files.filter(F.col("path") == path).first().content
+        put_bytes(spark, path.replace(".txt.gz", "-half.txt.gz"), whole[: len(whole) // 2])
+    results = _arrived(spark, base)
+    failed = results.failures(spark).select("source_key", F.lit(1).alias("failed"))
+    read = results.summaries(spark).select("source_key", "records_valid", "records_invalid")
+    rows = read.unionByName(failed, allowMissingColumns=True).withColumn("source_key", _landed_key())
+    return rows.groupBy("source_key").agg(
+        F.sum("records_valid").alias("records_valid"),
+        F.sum("records_invalid").alias("records_invalid"),
+        F.coalesce(F.sum("failed"), F.lit(0)).alias("failed"),
+    )
+
+
 # --- quality and warehouse --------------------------------------------------------
 def _stored_facts(spark, folder, names):
     """Facts of metrics the daily batch wrote: events are cleaned once for all."""
@@ -505,6 +581,10 @@ _QUERIES = {
     "ingest_metrics": ingest_metrics,
     "metric_rollup_5m": metric_rollup_5m,
     "arrival_ingest": arrival_ingest,
+    "arrival_rejects": arrival_rejects,
+    "arrival_whole_files": arrival_whole_files,
+    "arrival_summary": arrival_summary,
+    "arrival_retry": arrival_retry,
     "entity_validation": entity_validation,
     "dq_outcomes": dq_outcomes,
     "dq_outcomes_lineitem": dq_outcomes_lineitem,

@@ -34,14 +34,16 @@ def exact_path(path: str) -> str:
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], root: str) -> DataFrame:
-    """Lines of text files: ``source_key, file_size, block, position, line``.
+    """Lines of text files: ``source_key, path, file_size, block, position, line``.
 
     ``block`` is the byte offset of the split a line was read from. ``position``
     grows by one from line to line of a split. ``paths`` may be patterns.
     """
     scan = spark.read.option("recursiveFileLookup", "true").text(paths)
+    path = _decoded(F.col("_metadata.file_path"))
     return scan.select(
-        source_key(_decoded(F.col("_metadata.file_path")), root).alias("source_key"),
+        source_key(path, root).alias("source_key"),
+        path.alias("path"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
@@ -56,38 +58,11 @@ def with_key_folders(df: DataFrame) -> DataFrame:
     )
 
 
-def write_quarantine(records: DataFrame, base: str, batch: str) -> None:
-    """Rejected lines as JSON under ``base/batch=/year=/month=/day=``.
-
-    A batch that is run again replaces its own folders only.
-    """
-    rows = with_key_folders(records).withColumn("batch", F.lit(batch))
-    (
-        rows.hint("rebalance", *_LAYOUT)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        # every record shows all five fields, also an unknown event type
-        .option("ignoreNullFields", "false")
-        .partitionBy("batch", *_LAYOUT)
-        .json(base)
-    )
-
-
-def write_whole_files(lines: DataFrame, base: str, batch: str) -> None:
-    """Lines of corrupt files, one folder per source key.
-
-    Parts of a folder, in the order of their names, hold the lines in order.
-    """
-    rows = with_key_folders(lines).withColumns(
-        {"batch": F.lit(batch), "source_file": F.col("source_key")}
-    )
-    place = ["source_file", "block", "position"]
-    (
-        rows.repartitionByRange(*place)
-        .sortWithinPartitions("batch", *_LAYOUT, *place)
-        .select("batch", *_LAYOUT, "source_file", F.col("line").alias("value"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch", *_LAYOUT, "source_file")
-        .text(base)
-    )
+def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one small file into any storage that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    sink = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    try:
+        sink.write(bytearray(content))
+    finally:
+        sink.close()

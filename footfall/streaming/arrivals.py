@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from footfall.functions.isolation import spoilers
 from footfall.operators.ingest import MAX_INVALID_RATIO, rollup_metrics
 from footfall.plans.ingest import IngestTargets, ingest_lines
 from footfall.session import build_session
+from footfall.sources.batches import Attempt, commit, is_committed, write_part
 from footfall.sources.lines import exact_path, read_lines, source_key
 
 log = logging.getLogger(__name__)
@@ -35,20 +37,6 @@ def arrivals(
     )
 
 
-def _write_failures(spark, paths, root, targets: IngestTargets, batch: str) -> None:
-    failed = spark.createDataFrame([(p,) for p in paths], "path string").select(
-        source_key(F.col("path"), root).alias("source_key"),
-        F.lit(True).alias("error"),
-        F.lit(batch).alias("batch"),
-    )
-    (
-        failed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch")
-        .parquet(targets.summaries + "_failed")
-    )
-
-
 def start_ingest(
     spark: SparkSession,
     base: str,
@@ -63,25 +51,35 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the ingest stream.
 
-    A batch is ingested as one Spark job over its files. If that fails, files
-    that cannot be read are recorded as errors and the rest is ingested; a
-    failure that is not a file's fault stops the stream, which repeats the batch
-    when it is started again. Only the names of one batch's files, at most
-    ``files_per_batch``, reach the driver.
+    A batch is ingested as one unit over its files. If that fails, the files that
+    cannot be read are found by halving (about log2 of the number of files reading
+    jobs for each), recorded as failures, and the rest is ingested; a failure that is
+    not a file's fault stops the stream, which repeats the batch when it is started
+    again. Results count when the batch is committed, all at once, and a batch that
+    was committed before the stream noted its end is not ingested twice. Only the
+    names of one batch's files, at most ``files_per_batch``, reach the driver.
     """
     targets = IngestTargets.under(output)
 
-    def ingest(paths: list[str], sizes: DataFrame, batch: str) -> None:
-        lines = read_lines(spark, [exact_path(p) for p in paths], root)
-        ingest_lines(lines, targets, source, batch, max_invalid_ratio, files=sizes)
+    def read(paths) -> DataFrame:
+        return read_lines(spark, [exact_path(p) for p in paths], root)
 
-    def is_readable(path: str) -> bool:
+    def ingest(paths, sizes: DataFrame, batch: str, failed: DataFrame | None = None) -> None:
+        options = {"max_invalid_ratio": max_invalid_ratio, "files": sizes, "failed": failed}
+        ingest_lines(read(paths), targets, source, batch, **options)
+
+    def unreadable(paths) -> bool:
         try:
-            read_lines(spark, exact_path(path), root).write.format("noop").mode("overwrite").save()
+            read(paths).write.format("noop").mode("overwrite").save()
         except Exception:
-            log.exception("could not read %s", path)
-            return False
-        return True
+            log.warning("cannot read all of %d files", len(paths), exc_info=len(paths) == 1)
+            return True
+        return False
+
+    def named(paths) -> DataFrame:
+        return spark.createDataFrame([(p,) for p in paths], "path string").select(
+            source_key(F.col("path"), root).alias("source_key")
+        )
 
     def on_batch(files: DataFrame, batch_id: int) -> None:
         found = [(row.path, row.length) for row in files.select("path", "length").collect()]
@@ -91,22 +89,25 @@ def start_ingest(
         # batches are numbered per checkpoint, and every checkpoint has an id of its own
         stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
         batch = f"{stream}-{batch_id}"
+        if is_committed(spark, targets.base, batch):
+            return
         sizes = spark.createDataFrame(found, "path string, size_bytes long").select(
             source_key(F.col("path"), root).alias("source_key"), "size_bytes"
         )
         try:
             ingest(paths, sizes, batch)
         except Exception:
-            readable = [p for p in paths if is_readable(p)]
-            failed = sorted(set(paths) - set(readable))
+            failed = spoilers(paths, unreadable)
             if not failed:
                 raise
+            lost = named(sorted(failed))
+            readable = [p for p in paths if p not in set(failed)]
             if readable:
-                lost = spark.createDataFrame([(p,) for p in failed], "path string").select(
-                    source_key(F.col("path"), root).alias("source_key")
-                )
-                ingest(readable, sizes.join(lost, "source_key", "left_anti"), batch)
-            _write_failures(spark, failed, root, targets, batch)
+                ingest(readable, sizes.join(lost, "source_key", "left_anti"), batch, lost)
+            else:
+                attempt = Attempt.of(targets.base, batch)
+                write_part(lost.withColumn("error", F.lit(True)), attempt, "failures")
+                commit(spark, attempt)
 
     writer = (
         arrivals(spark, base, pattern, files_per_batch)

@@ -6,6 +6,7 @@ from conftest import as_dicts
 from pyspark.sql import functions as F
 from test_validation import event
 
+from footfall.functions.isolation import spoilers
 from footfall.operators import ingest as op
 from footfall.operators.validation import validate_lines
 from footfall.plans.ingest import IngestTargets, ingest_lines, slim_verdicts
@@ -37,6 +38,10 @@ def landing(tmp_path):
     return root
 
 
+def results(out):
+    return IngestTargets.under(str(out))
+
+
 def run(spark, root, out, batch="1", paths=None):
     lines = read_lines(spark, paths or f"{root}/events", str(root))
     ingest_lines(lines, IngestTargets.under(str(out)), "bucket", batch)
@@ -45,7 +50,7 @@ def run(spark, root, out, batch="1", paths=None):
 def test_files_are_summarised_and_rejects_kept(spark, landing, tmp_path):
     out = tmp_path / "out"
     run(spark, landing, out)
-    files = {r["source_key"]: r for r in as_dicts(spark.read.parquet(f"{out}/summaries"))}
+    files = {r["source_key"]: r for r in as_dicts(results(out).summaries(spark))}
     valid = files[f"events/{DAY}/valid.jsonl"]
     assert (valid["records_valid"], valid["records_invalid"]) == (100, 0)
     assert (valid["page_view"], valid["cart_event"], valid["click"]) == (50, 50, 0)
@@ -59,27 +64,29 @@ def test_files_are_summarised_and_rejects_kept(spark, landing, tmp_path):
     assert corrupt["quarantine_key"] == f"quarantine/{DAY}/corrupt.full.jsonl"
     assert files["events/year=2026/month=05/day=23/half.jsonl"]["is_corrupt"], "0.5 is enough"
 
-    rejects = spark.read.json(f"{out}/rejects/batch=1/{DAY}")
-    rows = sorted(as_dicts(rejects), key=lambda r: r["line_number"])
+    rows = sorted(as_dicts(results(out).rejects(spark)), key=lambda r: r["line_number"])
     assert [r["line_number"] for r in rows] == [5, 10]
     assert {r["source_key"] for r in rows} == {f"events/{DAY}/mixed.jsonl"}
     assert rows[0]["error_reason"].startswith("json_decode_error")
     assert rows[0]["raw_payload"] == "{not valid json}" and rows[0].get("event_type") is None
     assert rows[1]["event_type"] == "page_view"
 
-    first = next(out.glob(f"rejects/batch=1/{DAY}/*.json")).read_text().splitlines()[0]
+    assert {r["quarantine_key"] for r in rows} == {mixed["quarantine_key"]}
+    folder = f"quarantine_key={mixed['quarantine_key']}".replace("/", "%2F").replace("=", "%3D")
+    folder = folder.replace("%3D", "=", 1)
+    first = next(out.glob(f"rejects/attempt=*/{DAY}/{folder}/*.json")).read_text().splitlines()[0]
     assert set(json.loads(first)) == {
-        "line_number", "source_key", "event_type", "error_reason", "raw_payload",
+        "line_number", "source_key", "event_type", "error_reason", "raw_payload", "batch",
     }
 
-    key = f"events/{DAY}/corrupt.jsonl".replace("/", "%2F").replace("=", "%3D")
-    parts = sorted(out.glob(f"whole_files/batch=1/{DAY}/source_file={key}/part-*.txt"))
-    copied = "".join(part.read_text() for part in parts)
-    assert copied.split() == (landing / "events" / DAY / "corrupt.jsonl").read_text().split()
+    copy = results(out).whole_files(spark, corrupt["quarantine_key"]).collect()
+    text = (landing / "events" / DAY / "corrupt.jsonl").read_text().split("\n")[:-1]
+    assert [r.line for r in sorted(copy, key=lambda r: r.line_number)] == text
+    assert sorted(r.line_number for r in copy) == list(range(1, len(text) + 1))
 
     metrics = {
         r["name"]: r["value"]
-        for r in as_dicts(spark.read.parquet(f"{out}/metrics"))
+        for r in as_dicts(results(out).metrics(spark))
         if r["source_key"].endswith("mixed.jsonl") and r["event_type"] is None
     }
     assert metrics["RecordsInvalid"] == 2.0 and metrics["InvalidRate"] == 20.0
@@ -90,8 +97,8 @@ def test_running_a_batch_again_replaces_it(spark, landing, tmp_path):
     out = tmp_path / "out"
     run(spark, landing, out)
     run(spark, landing, out)
-    assert spark.read.parquet(f"{out}/summaries").count() == 4
-    assert spark.read.json(f"{out}/rejects").count() == 2
+    assert results(out).summaries(spark).count() == 4
+    assert results(out).rejects(spark).count() == 2
 
 
 def test_line_numbers_over_many_blocks(spark, tmp_path):
@@ -120,7 +127,7 @@ def test_payload_is_cut_at_1000_characters(spark, tmp_path):
     put(tmp_path, "events/a.jsonl", [json.dumps(event("page_view")) + "x" * 5000] + good(2))
     out = tmp_path / "out"
     run(spark, tmp_path, out)
-    row = spark.read.json(f"{out}/rejects").first()
+    row = results(out).rejects(spark).first()
     assert len(row.raw_payload) == 1000 and row.line_number == 1
 
 
@@ -141,10 +148,10 @@ def start(spark, root, out, **options):
 def test_each_arriving_file_is_ingested_once(spark, landing, tmp_path):
     out = tmp_path / "out"
     start(spark, landing, out)
-    assert spark.read.parquet(f"{out}/summaries").count() == 4
+    assert results(out).summaries(spark).count() == 4
     put(landing, f"events/{DAY}/late.jsonl", good(3, "search"))
     start(spark, landing, out)
-    files = spark.read.parquet(f"{out}/summaries")
+    files = results(out).summaries(spark)
     assert files.count() == 5
     late = files.filter(F.col("source_key").endswith("late.jsonl")).first()
     assert late.search == 3 and late.batch.endswith("-1")
@@ -156,16 +163,16 @@ def test_odd_names_and_a_second_checkpoint(spark, tmp_path):
     put(root, "events/b/x.jsonl", ["rubbish"] * 2)
     put(root, "events/a/with space+[1].jsonl", good(2))
     start(spark, root, out)
-    files = {r.source_key: r for r in spark.read.parquet(f"{out}/summaries").collect()}
+    files = {r.source_key: r for r in results(out).summaries(spark).collect()}
     assert set(files) == {"events/a/x.jsonl", "events/b/x.jsonl", "events/a/with space+[1].jsonl"}
     assert files["events/a/with space+[1].jsonl"].records_valid == 2
-    assert not (out / "summaries_failed").exists()
-    whole = spark.read.text(f"{out}/whole_files")
-    counts = {r["value"]: r["count"] for r in whole.groupBy("value").count().collect()}
+    assert results(out).failures(spark).count() == 0
+    whole = results(out).whole_files(spark)
+    counts = {r["line"]: r["count"] for r in whole.groupBy("line").count().collect()}
     assert counts == {"junk": 3, "rubbish": 2}
     query = start_ingest(spark, f"{root}/events", str(root), str(out), f"{tmp_path}/second")
     query.awaitTermination()
-    assert spark.read.parquet(f"{out}/summaries").count() == 6, "the first results stay"
+    assert results(out).summaries(spark).count() == 6, "the first results stay"
 
 
 def test_named_files_without_lines_are_reported(spark, tmp_path):
@@ -176,7 +183,7 @@ def test_named_files_without_lines_are_reported(spark, tmp_path):
     targets = IngestTargets.under(f"{tmp_path}/out")
     lines = read_lines(spark, f"{tmp_path}/events", str(tmp_path))
     ingest_lines(lines, targets, "bucket", "1", files=named)
-    rows = {r.source_key: r for r in spark.read.parquet(targets.summaries).collect()}
+    rows = {r.source_key: r for r in targets.summaries(spark).collect()}
     empty = rows["events/empty.jsonl"]
     assert (empty.size_bytes, empty.records_valid, empty.is_corrupt) == (0, 0, False)
     assert rows["events/a.jsonl"].records_valid == 2
@@ -187,11 +194,92 @@ def test_unreadable_file_does_not_stop_the_others(spark, landing, tmp_path):
     broken = landing / "events" / DAY / "broken.jsonl.gz"
     broken.write_bytes(gzip.compress(b"x" * 100000)[:60] + b"\x00" * 10)
     start(spark, landing, out, pattern="*.jsonl*")
-    assert spark.read.parquet(f"{out}/summaries").count() == 4
-    failed = spark.read.parquet(f"{out}/summaries_failed").collect()
+    assert results(out).summaries(spark).count() == 4
+    failed = results(out).failures(spark).collect()
     assert [(r.source_key, r.error) for r in failed] == [(f"events/{DAY}/broken.jsonl.gz", True)]
 
 
+def test_only_corrupt_files_are_listed_again(spark, landing, monkeypatch):
+    from footfall.plans import ingest
+
+    plans = []
+    read = ingest.read_lines
+
+    def spied(session, paths, root):
+        plans.append(paths)
+        return read(session, paths, root)
+
+    monkeypatch.setattr(ingest, "read_lines", spied)
+    path = read(spark, f"{landing}/events/{DAY}/corrupt.jsonl", "/").first().path
+    corrupt = spark.createDataFrame([("k", path, "q")], "source_key string, path string, quarantine_key string")
+    rows = ingest.whole_file_lines(spark, corrupt).collect()
+    assert plans == [[path]] and len(rows) == 10 and {r.quarantine_key for r in rows} == {"q"}
+
+
+def test_whole_files_of_many_blocks_keep_their_lines(spark, tmp_path):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    lines = [f"junk {i} " + "y" * (i % 41) for i in range(2000)]
+    put(tmp_path, "events/all.jsonl", lines)
+    spark.conf.set(key, "9000")
+    try:
+        run(spark, tmp_path, tmp_path / "out")
+    finally:
+        spark.conf.set(key, before)
+    rows = results(tmp_path / "out").whole_files(spark).collect()
+    assert [r.line for r in sorted(rows, key=lambda r: r.line_number)] == lines
+
+
+def test_a_batch_killed_half_way_leaves_nothing_to_readers(spark, landing, tmp_path, monkeypatch):
+    from footfall.plans import ingest
+
+    out = tmp_path / "out"
+    put(tmp_path / "bucket", f"events/{DAY}/more.jsonl", ["bad", *good(9)])
+    write = ingest.write_part
+
+    def dies(df, attempt, kind, *folders, **options):
+        if kind == "summaries":
+            raise RuntimeError("executor lost")
+        write(df, attempt, kind, *folders, **options)
+
+    monkeypatch.setattr(ingest, "write_part", dies)
+    with pytest.raises(Exception, match="executor lost"):
+        start(spark, landing, out)
+    assert list(out.glob("rejects/attempt=*")), "the first try has written rejects"
+    assert results(out).rejects(spark).count() == 0
+    monkeypatch.setattr(ingest, "write_part", write)
+    start(spark, landing, out)
+    assert len(list(out.glob("rejects/attempt=*"))) == 2
+    rows = [(r.quarantine_key[-17:], r.line_number) for r in results(out).rejects(spark).collect()]
+    assert sorted(rows) == [("ixed.errors.jsonl", 5), ("ixed.errors.jsonl", 10), ("more.errors.jsonl", 1)]
+    assert results(out).summaries(spark).count() == 5
+
+
+def test_a_committed_batch_is_not_ingested_twice(spark, landing, tmp_path):
+    out = tmp_path / "out"
+    start(spark, landing, out)
+    progress = out / "checkpoint" / "commits" / "0"
+    progress.unlink()
+    (out / "checkpoint" / "commits" / ".0.crc").unlink(missing_ok=True)
+    start(spark, landing, out)
+    assert len(list(out.glob("summaries/attempt=*"))) == 1
+    assert results(out).summaries(spark).count() == 4
+
+
+def test_broken_files_are_found_by_halving():
+    for bad in (set(), {0}, {49}, {7, 8}, {3, 31}, {0, 49}, set(range(50))):
+        tries = []
+
+        def spoiled(group, bad=bad, tries=tries):
+            tries.append(list(group))
+            return bool(bad & set(group))
+
+        assert set(spoilers(range(50), spoiled)) == bad
+        assert len(tries) <= (15 if len(bad) < 3 else 101)
+        if len(bad) == 1:
+            assert len(tries) <= 8
+
+
 METRIC = """source_key string, recorded_at timestamp, name string, value double, unit string,
     event_type string, source string"""
 
