@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import computed_once, sql_list
+from footfall.operators import shapes
 from footfall.operators.rules import (
     ENTITY_FIELDS,
     ENTITY_KEYS,
@@ -50,21 +51,27 @@ def parse_line(lines: DataFrame, column: str = "line") -> DataFrame:
     in an envelope whose two keys carry the line's own hash: text behind the first
     value, or a line that closes the envelope early, leaves other keys.
     """
+    return _parsed(computed_once(lines, raw=_without_end(column)), "raw")
+
+
+def _without_end(column: str) -> Column:
+    return F.rtrim(F.make_valid_utf8(F.col(column)), F.lit("\r\n"))
+
+
+def _parsed(lines: DataFrame, source: str) -> DataFrame:
+    """Add ``is_json`` and ``members`` of the text in ``source``."""
     line_key, end_key = (
-        F.concat(F.lit(name), F.xxhash64("raw").cast("string")) for name in ("line", "end")
+        F.concat(F.lit(name), F.xxhash64(source).cast("string")) for name in ("line", "end")
     )
     envelope = F.concat(
-        F.lit('{"'), line_key, F.lit('":'), F.col("raw"), F.lit(',"'), end_key, F.lit('":1}')
+        F.lit('{"'), line_key, F.lit('":'), F.col(source), F.lit(',"'), end_key, F.lit('":1}')
     )
     parts = F.col("__parts")
     keys = F.map_keys(parts)
     intact = (
         (F.size(parts) == 2) & F.array_contains(keys, line_key) & F.array_contains(keys, end_key)
     )
-    without_end = F.rtrim(F.make_valid_utf8(F.col(column)), F.lit("\r\n"))
-    enveloped = computed_once(
-        computed_once(lines, raw=without_end), __parts=_members(F.try_parse_json(envelope))
-    )
+    enveloped = computed_once(lines, __parts=_members(F.try_parse_json(envelope)))
     return computed_once(
         enveloped,
         is_json=F.coalesce(intact, F.lit(False)),
@@ -175,8 +182,50 @@ def _key_problem(keys: Mapping[str, Keys], kind: Column, present: Column) -> Col
     )
 
 
-def validate_lines(lines: DataFrame, column: str = "line") -> DataFrame:
-    """Add ``is_valid``, ``event_type``, ``error`` and ``raw``; the first failing test wins."""
+def _decided_by_shape(lines: DataFrame) -> DataFrame:
+    """Add ``__kind``, ``__decided`` and ``__reason`` from ``raw``, for lines of a known shape."""
+    line, values, kind = F.col("raw"), F.col("__values"), F.col("__values")["event_type"]
+    schema = shapes.value_schema("event_type", EVENT_FIELDS)
+    read = computed_once(
+        lines,
+        __values=F.when(shapes.is_flat(line), F.from_json(line, schema, shapes.READ_OPTIONS)),
+    )
+    fits = shapes.fits_shape(line, kind, values, EVENT_KEYS, EVENT_FIELDS, "event_type")
+    reason = shapes.value_problems(line, kind, values, EVENT_KEYS, EVENT_FIELDS, VIOLATION)
+    shaped = computed_once(read, __fits=fits)
+    told = computed_once(shaped, __reason=F.when(F.col("__fits"), reason), __kind=kind)
+    unclear = F.coalesce(F.col("__reason") == "", F.lit(False))
+    return told.withColumn("__decided", F.col("__fits") & ~unclear).drop("__values", "__fits")
+
+
+def validate_lines(lines: DataFrame, column: str = "line", by_shape: bool = True) -> DataFrame:
+    """Add ``is_valid``, ``event_type``, ``error`` and ``raw``; the first failing test wins.
+
+    Lines of a known shape get their verdict from it and from their values; only the
+    others are parsed for the full chain of tests. ``by_shape=False`` sends all there.
+    """
+    shown = computed_once(lines, raw=_without_end(column))
+    if not by_shape:
+        return _checked(shown, "raw").withColumn("is_valid", F.col("error").isNull())
+    shaped = _decided_by_shape(shown)
+    decided = F.col("__decided")
+    rest = computed_once(shaped, __rest=F.when(~decided, F.col("raw")))
+    kind, error = F.col("event_type"), F.col("error")
+    return (
+        _checked(rest, "__rest")
+        .withColumns(
+            {
+                "event_type": F.when(decided, F.col("__kind")).otherwise(kind),
+                "error": F.when(decided, F.col("__reason")).otherwise(error),
+            }
+        )
+        .withColumn("is_valid", error.isNull())
+        .drop("__rest", "__decided", "__kind", "__reason")
+    )
+
+
+def _checked(lines: DataFrame, source: str) -> DataFrame:
+    """Add ``event_type`` and ``error`` of the text in ``source`` by all tests."""
     members, value = F.col("members"), F.col("__type")
     is_text = _kind(value) == "STRING"
     known = is_text & F.col("event_type").isin(*EVENT_TYPES)
@@ -187,22 +236,18 @@ def validate_lines(lines: DataFrame, column: str = "line") -> DataFrame:
         .otherwise(F.col("event_type"))
     )
     tests = [
-        F.when(F.col("raw").rlike(_BLANK), EMPTY_LINE),
+        F.when(F.col(source).rlike(_BLANK), EMPTY_LINE),
         F.when(~F.col("is_json"), NOT_JSON),
         F.when(members.isNull(), NOT_OBJECT),
         F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit(UNKNOWN_TYPE), shown)),
         _key_problem(EVENT_KEYS, F.col("event_type"), F.map_keys(members)),
         *[_problem(field, members[field.name]) for field in EVENT_FIELDS],
     ]
-    typed = computed_once(parse_line(lines, column), __type=members["event_type"])
+    typed = computed_once(_parsed(lines, source), __type=members["event_type"])
     named = computed_once(
         typed, event_type=F.when(is_text, _string(value)).otherwise(F.to_json(value))
     )
-    return (
-        _first_reason(named, tests)
-        .withColumn("is_valid", F.col("error").isNull())
-        .drop("is_json", "members", "__type")
-    )
+    return _first_reason(named, tests).drop("is_json", "members", "__type")
 
 
 def valid_events(verdicts: DataFrame) -> DataFrame:

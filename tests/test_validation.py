@@ -226,3 +226,33 @@ def test_entities(entity_rows, i):
     reason = ENTITIES[i][2]
     error = entity_rows[i].error
     assert (error is None) if reason is None else error.startswith(reason), error
+
+
+def test_shapes_decide_as_the_full_chain(spark):
+    import random
+
+    rng = random.Random(4)  # each run has the same lines
+    values = ['"x"', '"mobile"', "5", "-1", "7.5", "1e400", "null", "true", "[1]", '{"a": 1}', '""', '"NaN"',
+              "NaN", "007", '"U0000000a"', '"a\\u0041"', "'q'", '"{}"', '"k\\":\\"v"', "99999999999999999999999"]
+    lines = []
+    for _ in range(700):
+        kind = rng.choice(["page_view", "click", "search", "product_view", "cart_event"])
+        pairs = [[k, json.dumps(v)] for k, v in event(kind).items()]
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at = rng.randrange(len(pairs))
+            pairs[at][1] = rng.choice(values)
+        if rng.random() < 0.2:
+            pairs.insert(rng.randrange(len(pairs)), [rng.choice(["referrer", "extra", "event_id"]), rng.choice(values)])
+        if rng.random() < 0.1:
+            pairs.pop(rng.randrange(len(pairs)))
+        colon, comma = rng.choice([(":", ","), (": ", ", "), (" :", " ,")])
+        line = "{" + comma.join(f'"{k}"{colon}{v}' for k, v in pairs) + "}"
+        lines.append(rng.choice([line] * 6 + [line + " ", line + "}", line + "{}", line[:-1], " " + line, line + "\r"]))
+    df = spark.createDataFrame(list(enumerate([*lines, None, "", "{}"])), "n long, line string")
+    columns = ["n", "raw", "is_valid", "event_type", "error"]
+    fast, full = (
+        {r.n: r for r in validate_lines(df, by_shape=b).select(*columns).collect()} for b in (True, False)
+    )
+    differing = [f"{full[n]} | {fast[n].error}" for n in full if fast[n] != full[n]]
+    assert not differing, "\n".join(differing)
+    assert sum(r.is_valid for r in fast.values()) > 100
