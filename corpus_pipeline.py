@@ -27,16 +27,16 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """One row of each group of equal texts; of rows that repeat its id, one."""
     ship_package(spark)
     text = F.sha2(F.encode(exact_dedup.normalised(F.col("text")), "UTF-8"), 256)
+    k, t = unused(docs, "__kept_id"), unused(docs, "__kept_text")
     kept = exact_dedup.exact_duplicates(docs).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("k"), F.col("text_sha256").alias("s"))
+    kept = kept.select(F.col("doc_id").alias(k), F.col("text_sha256").alias(t))
     chosen = docs.join(
-        kept.distinct(), F.col("doc_id").eqNullSafe(F.col("k")) & (text == F.col("s")), "left_semi"
+        kept.distinct(), F.col("doc_id").eqNullSafe(F.col(k)) & (text == F.col(t)), "left_semi"
     )
-    repeated = kept.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = kept.groupBy(k, t).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if repeated.isEmpty():
         return chosen
-    name = unused(docs, "__text")
-    return chosen.withColumn(name, text).dropDuplicates(["doc_id", name]).drop(name)
+    return chosen.withColumn(t, text).dropDuplicates(["doc_id", t]).drop(t)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,23 +45,34 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by id and text, so another text of a dropped id stays.
     """
     ship_package(spark)
+    k, r = unused(docs, "__dropped_id"), unused(docs, "__dropped_row")
     dropped = near_dedup.near_classes(docs).filter("NOT kept")
-    dropped = dropped.select(F.col("doc_id").alias("k"), F.col("row").alias("r")).distinct()
+    dropped = dropped.select(F.col("doc_id").alias(k), F.col("row").alias(r)).distinct()
     row = near_dedup.row_hash(F.col("doc_id"), F.col("text"))
-    return docs.join(dropped, (F.col("doc_id") == F.col("k")) & (row == F.col("r")), "left_anti")
+    return docs.join(dropped, (F.col("doc_id") == F.col(k)) & (row == F.col(r)), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row as often as the mix takes it; the row at a source's cut is rounded."""
+    """Every row as often as the mix takes it; the row at a source's cut is rounded.
+
+    Rows are told apart by id and text.
+    """
     ship_package(spark)
-    taken = mixing.mix(docs).filter("copies > 0").groupBy("doc_id").agg(
-        F.max("copies").cast("int").alias("c")
+    row, times = unused(docs, "__row"), unused(docs, "__times")
+    taken_row = unused(docs, "__taken_row")
+    id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumn(row, F.sha2(F.concat(id_, F.lit("\n"), text), 256))
+    taken = (
+        mixing.mix(keyed, id_col=row)
+        .filter("copies > 0")
+        .groupBy(F.col("doc_id").alias(taken_row))
+        .agg(F.max("copies").cast("int").alias(times))
     )
-    taken = taken.withColumnRenamed("doc_id", "k")
     return (
-        docs.join(taken, F.col("doc_id").eqNullSafe(F.col("k")))
-        .withColumn("k", F.explode(F.array_repeat(F.lit(1), F.col("c"))))
-        .select(*[docs[c] for c in docs.columns])
+        keyed.join(taken, F.col(row) == F.col(taken_row))
+        .withColumn(times, F.explode(F.array_repeat(F.lit(1), F.col(times))))
+        .select(*docs.columns)
     )
 
 
