@@ -44,14 +44,27 @@ def fit_axes(vectors: DataFrame, most: int = AXES_SAMPLE) -> dict[int, np.ndarra
     return axes
 
 
+def scaled(values: list[float | None] | None) -> np.ndarray | None:
+    """A vector times the power of two that brings its largest component to 1/2 or more, below 1.
+
+    Cosines do not change and squares neither vanish nor overflow, at any magnitude of
+    the components. None where a vector links with nothing.
+    """
+    if values is None or None in values:
+        return None
+    v = np.array(values, "<f8")
+    if not len(v) or not np.isfinite(v).all() or not v.any():
+        return None
+    return np.ldexp(v, -np.frexp(np.abs(v).max())[1]).astype("<f8")
+
+
 def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as bytes of doubles; null where a vector links with nothing."""
+    """Scaled vectors as bytes of doubles; null where a vector links with nothing."""
     for batch in batches:
         raw = []
         for values in batch.column("embedding").to_pylist():
-            v = None if values is None or None in values else np.array(values, "<f8")
-            good = v is not None and len(v) and np.isfinite(v).all() and np.linalg.norm(v) > 0
-            raw.append(v.tobytes() if good else None)
+            v = scaled(values)
+            raw.append(None if v is None else v.tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("vec_id"), batch.column("label"), pa.array(raw, pa.binary())],
             ["vec_id", "label", "raw"],
