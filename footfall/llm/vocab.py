@@ -17,7 +17,30 @@ _NO_SPACE = "\x1c\x1d\x1e\x1f"
 # whose lower case is two code points.
 _SIMPLE = re.compile("[\x00-įı-ſ]*")
 _LETTER, _NUMBER, _BLANK = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾", " \t-\r\x85\xa0"
-# The vocabulary's own split pattern, spelt out for simple text.
+# The rules of a vocabulary file that the split below spells out for simple text.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {
+                "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+            },
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# The same split pattern over the signs of simple text.
 _WORD = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+"
 )
@@ -46,6 +69,10 @@ class Vocabulary:
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain
         self.plain = plain
+        with open(path, encoding="utf-8") as source:
+            rules = json.load(source)
+        # other rules: the library splits every word
+        self._spelt_out = (rules["normalizer"], rules["pre_tokenizer"]) == (_NORMALIZER, _PRE_TOKENIZER)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         probe = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         if probe("It's 12 up.") != [i for w in ("It's", "12", "up.") for i in probe(w)]:
@@ -100,7 +127,7 @@ class Vocabulary:
         found = self._chunks.get(chunk)
         if found is not None:
             return found
-        if _SIMPLE.fullmatch(chunk) and (self.plain or "<|" not in chunk):
+        if self._spelt_out and _SIMPLE.fullmatch(chunk) and (self.plain or "<|" not in chunk):
             words = self._words
             ids: list[int] = []
             for word in _WORD.findall(chunk.lower()):
