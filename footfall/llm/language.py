@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.functions.groups import first_rows
 from footfall.llm.common import stage
 
-#: Labelled texts that the trigram models are fitted on at most, chosen by a hash of the id.
-MAX_TRAINING_ROWS = 4_000
-#: Languages that are told apart at most: those with most training texts.
-MAX_LANGUAGES = 200
+#: Labelled texts of each language that its trigram model is fitted on at most, chosen by a
+#: hash of the id. Every language that labels a text has a model.
+MAX_TRAINING_ROWS = 1_000
 
 _CELLS = 1 << 14  # hashed trigrams
 _TEMPER = 1 / 3  # neighbouring trigrams share two of three signs
@@ -84,13 +84,16 @@ def fit_text_model(
     lang_col: str = "lang",
     most_rows: int = MAX_TRAINING_ROWS,
 ) -> TextModel:
-    """Trigram models from at most ``most_rows`` whole texts whose language is given."""
+    """Trigram models from at most ``most_rows`` whole texts of each language that is given."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    chosen = known.select(F.col(id_col).alias("id")).distinct()
-    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(most_rows)
+    ids = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).distinct()
+    chosen = stage(
+        first_rows(ids, ["lang"], [F.xxhash64("id"), F.col("id")], most_rows), "training_ids"
+    ).select(F.col("id").alias("k"), F.col("lang").alias("l"))
     texts = known.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
-    ).join(F.broadcast(chosen), "id")  # at most most_rows ids
+    )
+    texts = texts.join(chosen, F.col("id").eqNullSafe(F.col("k")) & (F.col("lang") == F.col("l")), "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -113,14 +116,15 @@ def fit_text_model(
         .filter("n > 0").groupBy("lang", "cell").agg(F.sum("n").alias("n")),
         "trigrams",
     )
-    largest = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang")
-    languages = sorted(r.lang for r in largest.limit(MAX_LANGUAGES).collect())
-    rows = counts.filter(F.col("lang").isin(languages)).groupBy("lang").agg(
+    rows = counts.groupBy("lang").agg(
         F.collect_list("cell").alias("cells"), F.collect_list("n").alias("ns")
     )
+    found = {r.lang: (r.cells, r.ns) for r in rows.collect()}  # a row of _CELLS numbers per language
+    languages = sorted(found)
     sums = np.zeros((len(languages), _CELLS))
-    for row in rows.collect():  # at most MAX_LANGUAGES rows of _CELLS numbers
-        sums[languages.index(row.lang), row.cells] = row.ns
+    for place, lang in enumerate(languages):
+        cells, ns = found[lang]
+        sums[place, cells] = ns
     return TextModel(languages, sums)
 
 
@@ -234,8 +238,8 @@ def languages_of(
     for key in ("declared", "suffix"):
         joined = joined.join(likelihood(key), F.col(key) == F.col(f"{key}_k"))
     others = F.zip_with("host_p", "p", lambda c, x: c - x)
-    prior = lean(others, F.col("base"), _HOST_WEIGHT)
     even = F.array(*[F.lit(1.0 / k)] * k)
+    prior = F.when(F.col("host") == "", even).otherwise(lean(others, F.col("base"), _HOST_WEIGHT))
     told = F.when(F.col("declared") == "", even).otherwise(F.col("declared_l"))
     ended = F.when(F.col("suffix") == "", even).otherwise(F.col("suffix_l"))
     total_score = F.col("ll")
