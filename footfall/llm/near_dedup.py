@@ -8,7 +8,7 @@ shingle sets under TF-IDF decides, with exact document frequencies over all text
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -171,18 +171,26 @@ def weighted_jaccard(a, wa: np.ndarray, b, wb: np.ndarray) -> float:
 
 
 # --- tasks -----------------------------------------------------------------------------------
-_CHUNK = 1 << 20  # signs of text worked on at once
+_CHUNK = 1 << 18  # signs of text worked on at once, about 20 MB of arrays
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start, size = 0, 0
-    for i, text in enumerate(texts):
+def _slices(texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``shingles`` of about ``_CHUNK`` signs of texts at a time."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        held.append(text)
         size += len(text)
         if size >= _CHUNK:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+            yield shingles(held)
+            held, size = [], 0
+    if held:
+        yield shingles(held)
+
+
+def _strings(column: pa.Array) -> Iterator[str]:
+    """One Python string at a time."""
+    return (text.as_py() for text in column)
 
 
 def corpus_weights(texts: DataFrame) -> Weights:
@@ -193,13 +201,12 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        nodes: list[int | None] = []
-        bands: list[np.ndarray | None] = []
-        for a, b in _chunks(texts):
-            hashes, tf, per_text = shingles(texts[a:b])
+        done = 0
+        for hashes, tf, per_text in _slices(_strings(batch.column("text"))):
             if len(hashes):
                 found = band_keys(samples(hashes, tf.astype(np.float32), per_text))
+            nodes: list[int | None] = []
+            bands: list[np.ndarray | None] = []
             row, at = 0, 0
             for n in per_text.tolist():
                 if not n:
@@ -210,27 +217,27 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 nodes.append(xxhash.xxh3_64_intdigest(whole) - (1 << 63))
                 bands.append(found[row])
                 row, at = row + 1, at + n
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("row"), pa.array(nodes, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64()))],
-            ["id", "row", "node", "bands"],
-        )
+            part = batch.slice(done, len(per_text))
+            done += len(per_text)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), part.column("row"), pa.array(nodes, pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64()))],
+                ["id", "row", "node", "bands"],
+            )
 
 
 # --- document frequencies --------------------------------------------------------------------
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, h): the shingles of each part of the pool."""
+    """(part, h): the shingles of each part of the pool; some of a part may come again."""
     for batch in batches:
-        texts, parts = batch.column("text").to_pylist(), batch.column("part").to_numpy()
+        texts, parts = batch.column("text"), batch.column("part").to_numpy()
         for part in np.unique(parts):
-            found = [np.zeros(0, _U)]
-            own = [texts[i] for i in np.flatnonzero(parts == part)]
-            for a, b in _chunks(own):
-                found.append(np.unique(shingles(own[a:b])[0]))
-            h = np.unique(np.concatenate(found)).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(h), part, np.int64)), pa.array(h)], ["part", "h"]
-            )
+            own = texts.take(pa.array(np.flatnonzero(parts == part)))
+            for found in _slices(_strings(own)):
+                h = np.unique(found[0]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(h), part, np.int64)), pa.array(h)], ["part", "h"]
+                )
 
 
 def _shingle_bitmap(wanted: DataFrame) -> np.ndarray:
@@ -253,20 +260,26 @@ def _count_shingles(bitmap: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [np.zeros(0, _U)]
-            for a, b in _chunks(texts):
-                hashes, _, _ = shingles(texts[a:b])
+            held, size = [np.zeros(0, _U)], 0
+            for hashes, _, _ in _slices(_strings(batch.column("text"))):
                 at = (hashes & last).astype(np.int64)
-                found.append(hashes[(bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1])
-            h, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"]
-            )
+                held.append(hashes[(bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1])
+                size += len(held[-1])
+                if size >= _CHUNK:
+                    yield _counted(held)
+                    held, size = [np.zeros(0, _U)], 0
+            yield _counted(held)
 
     return run
 
 
+def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    h, n = np.unique(np.concatenate(held), return_counts=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"]
+    )
+
+
 def _put_frequencies(pool: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
     found = found.drop_duplicates("h").sort_values("h")
     h, n = found["h"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
@@ -294,7 +307,9 @@ def with_frequencies(pool: DataFrame, texts: DataFrame) -> DataFrame:
         pool.withColumn("part", F.pmod(F.xxhash64("id"), parts)).repartition("part"),
         "pool_parts", "part",
     )
-    wanted = stage(pool.select("text", "part").mapInArrow(_wanted, "part long, h long"), "wanted")
+    wanted = stage(
+        pool.select("text", "part").mapInArrow(_wanted, "part long, h long"), "wanted"
+    )
     bitmap = _shingle_bitmap(wanted)
     counted = texts.select("text").mapInArrow(_count_shingles(bitmap), "h long, n long")
     counts = stage(
@@ -315,7 +330,7 @@ def _verify(weights: Weights, least: float):
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        hashes, tf, per_text = shingles(frame["text"].tolist())
+        hashes, tf, per_text = map(np.concatenate, zip(*_slices(frame["text"]), strict=True))
         df = np.concatenate(frame["df"].tolist()) if "df" in frame else np.ones(len(tf))
         w = weights.of(df, tf)
         ends = np.cumsum(per_text)

@@ -58,3 +58,30 @@ def test_near_copies_equal_all_pairs(spark):
     assert links
     found = queries.queries()["op3_near_dedup"](spark, FOLDER).collect()
     assert {r.doc_id: r.class_id for r in found} == class_of
+
+
+def test_mixing_stage_tells_rows_apart_by_id_and_text(spark):
+    rows = [(100, "w " * 40, "a"), (100, "v " * 3, "a"), (None, "u " * 5, "a"), (None, "t " * 9, "b")]
+    rows += [(i, "x " * (i % 9 + 1), "ab"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(
+        [(*r, 7, "x", "y") for r in rows], "doc_id long, text string, source string, c int, k string, s string"
+    )
+    out = corpus_pipeline.mix_sources(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    got = Counter((r.doc_id, r.text, r.source) for r in out.collect())
+    assert set(got) <= set(rows) and max(got.values()) <= 2
+    for source in "ab":
+        words = sum(len(t.split()) * n for (_, t, s), n in got.items() if s == source)
+        size = sum(len(t.split()) for _, t, s in rows if s == source)
+        assert words <= 2 * size + 40
+    assert corpus_pipeline.mix_sources(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_stages_take_columns_of_any_name(spark):
+    rows = [(i, "one two three four five six " + "word " * (i % 4), "a", "b", 1, 2, 3, 4) for i in range(12)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, source string, lang string, k int, s int, r int, node int"
+    )
+    for stage in (corpus_pipeline.drop_exact_copies, corpus_pipeline.drop_near_copies):
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns and 0 < out.count() <= 4
