@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from footfall.schema import COUNTRIES, DEVICE_TYPES
+from footfall.sources.staging import stage
 
 # --- fixed values: metric, fact table and column types of the standard load --------
 FACT_TABLES = {
@@ -147,8 +148,38 @@ def dim_country(spark: SparkSession) -> DataFrame:
 
 
 def absent_rows(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key ``existing`` lacks: insert, do nothing on conflict."""
-    return new.dropDuplicates(keys).join(existing, keys, "left_anti")
+    """Rows of ``new`` whose key ``existing`` lacks: insert, do nothing on conflict.
+
+    Of several new rows with one key the smallest in the order of their other columns
+    is inserted, so a load that is run again inserts the same.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    if not rest:
+        return new.dropDuplicates(keys).join(existing, keys, "left_anti")
+    first = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__first"))
+    rows = first.select(*keys, "__first.*").select(*new.columns)
+    return rows.join(existing, keys, "left_anti")
+
+
+def with_serial_ids(new: DataFrame, order: list[str], last: int = 0) -> DataFrame:
+    """Add ``serial_id``: numbers without gaps in ascending ``order``, continued after ``last``.
+
+    Rows are dealt into ranges of ``order``, numbered inside them and shifted by the
+    sizes of the ranges before, so only one row per range meets in one task. ``order``
+    should be unique; rows that are equal in it may swap their numbers.
+    """
+    places = [F.col(c).asc_nulls_first() for c in order]
+    dealt = stage(
+        new.repartitionByRange(*places).withColumn("__range", F.spark_partition_id()), "serial"
+    )
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")).select(
+        "__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__shift")
+    )
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*places))
+    numbered = dealt.withColumn("serial_id", inside).join(stage(shifts, "serial_shifts"), "__range")
+    number = (F.col("serial_id") + F.col("__shift") + F.lit(last)).cast("long")
+    return numbered.withColumn("serial_id", number).drop("__range", "__shift")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

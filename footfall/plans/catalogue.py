@@ -456,6 +456,17 @@ def fact_load_append(spark, folder):
     )
 
 
+def fact_serial_ids(spark, folder):
+    """Two loads, mobile rows first: the second one's numbers go on where the first one's end."""
+    facts = stage(_fact(spark, folder, "device_country"), "facts")
+    path = scratch_path(spark, "serial_facts")
+    order, last = list(warehouse.BUSINESS_KEYS["device_country"]), 0
+    for rows in (facts.filter("device_type = 'mobile'"), facts.filter("device_type <> 'mobile'")):
+        warehouse.with_serial_ids(rows, order, last).write.mode("append").parquet(path)
+        last = spark.read.parquet(path).agg(F.max("serial_id")).first()[0] or 0
+    return spark.read.parquet(path).select("serial_id", *order, "page_views")
+
+
 def fact_load_replace_all(spark, folder):
     """Load all days, then replace the whole table by one day."""
     metrics, facts = scratch_path(spark, "metrics"), scratch_path(spark, "facts")
@@ -598,6 +609,7 @@ _QUERIES = {
     "countries_insert_absent": countries_insert_absent,
     "device_dimension_use": device_dimension_use,
     "fact_load_append": fact_load_append,
+    "fact_serial_ids": fact_serial_ids,
     "fact_load_replace_all": fact_load_replace_all,
     "fact_load_replace_day": fact_load_replace_day,
     "pages_top_time": pages_top_time,

@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 from conftest import as_dicts
+from pyspark.sql import functions as F
 
 from footfall.operators import quality as dq
 from footfall.operators import rulesets, warehouse
@@ -195,3 +196,19 @@ def test_jdbc_load_modes():
     assert jdbc_mode("replace_all") == "overwrite" and jdbc_mode("append") == "append"
     with pytest.raises(ValueError, match="replaced by day"):
         jdbc_mode("replace_days")
+
+
+def test_of_conflicting_new_rows_always_the_same_is_inserted(spark):
+    rows = [("a", 3, "x"), ("a", 2, "z"), ("a", 2, "y"), ("b", 1, None), ("c", 9, "w"), ("c", 8, "w")]
+    held = spark.createDataFrame([("c", 1, "old")], "k string, n int, t string")
+    for parts in (1, 5):
+        new = spark.createDataFrame(rows, "k string, n int, t string").repartition(parts)
+        got = sorted(map(tuple, warehouse.absent_rows(new, held, ["k"]).collect()))
+        assert got == [("a", 2, "y"), ("b", 1, None)]
+
+
+def test_serial_ids_have_no_gaps(spark):
+    df = spark.range(500).select((F.col("id") * 7 % 500).alias("n"), F.lit("c").alias("id"))
+    rows = warehouse.with_serial_ids(df, ["n"], last=40).collect()
+    assert sorted((r.n, r.serial_id) for r in rows) == [(n, n + 41) for n in range(500)]
+    assert warehouse.with_serial_ids(df.limit(0), ["n"]).count() == 0
