@@ -199,3 +199,45 @@ def rollup_metrics(metrics: DataFrame, window: str = ROLLUP_WINDOW) -> DataFrame
             F.when(F.col("name") == "InvalidRate", F.lit(INVALID_RATE_ALERT)).alias("alert_at"),
         )
     )
+
+
+def partial_rollup(
+    metrics: DataFrame, closed_before: Column, window: str = ROLLUP_WINDOW
+) -> DataFrame:
+    """Totals of one batch of metrics that add up with those of other batches.
+
+    ``late_rows`` counts the rows of windows that ended by ``closed_before`` (NULL: none).
+    """
+    late = F.coalesce(F.col("w.end") <= closed_before, F.lit(False))
+    return (
+        metrics.withColumn("w", F.window("recorded_at", window))
+        .groupBy(F.col("w.start").alias("window_start"), "source", "name", "event_type")
+        .agg(
+            F.sum("value").alias("total"),
+            F.count("value").alias("valued"),
+            F.max("value").alias("maximum"),
+            F.count_if(late).alias("late_rows"),
+        )
+    )
+
+
+def merged_rollup(partials: DataFrame) -> DataFrame:
+    """The roll-up of all batches, as ``rollup_metrics`` has it, and its late rows."""
+    is_level = F.col("name").isin("InvalidRate", "ProcessingDurationMs")
+    merged = partials.groupBy("window_start", "source", "name", "event_type").agg(
+        F.sum("total").alias("total"),
+        F.sum("valued").alias("valued"),
+        F.max("maximum").alias("maximum"),
+        F.sum("late_rows").alias("late_rows"),
+    )
+    return merged.select(
+        "window_start",
+        "source",
+        "name",
+        "event_type",
+        F.when(~is_level, F.col("total")).alias("total"),
+        F.when(is_level, F.try_divide("total", "valued")).alias("average"),
+        F.when(F.col("name") == "ProcessingDurationMs", F.col("maximum")).alias("maximum"),
+        F.when(F.col("name") == "InvalidRate", F.lit(INVALID_RATE_ALERT)).alias("alert_at"),
+        "late_rows",
+    )

@@ -109,6 +109,9 @@ TYPED_RULES = {
     ],
 }
 
+#: Rule sets a load can be gated with; a metric that a set does not name has its ``load`` rules.
+RULE_SETS = {"load": LOAD_RULES, "full": FULL_RULES, "typed": TYPED_RULES}
+
 CONSTRAINTS = {
     "top_pages": [*_complete("dt", "page_url", "views"), values("views", ">", 0)],
     "bounce_rate": [
@@ -136,3 +139,8 @@ CONSTRAINTS = {
     ],
     "anomalies": _complete("dt", "session_id"),
 }
+
+
+def rules_for(metric: str, rule_set: str = "load"):
+    """The rules of a set for one metric."""
+    return RULE_SETS[rule_set].get(metric, LOAD_RULES[metric])

@@ -6,6 +6,8 @@ tables. Values that depend on summation order are rounded to six places.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ from footfall.operators import quality as dq
 from footfall.operators import validation as check
 from footfall.operators.metrics import METRICS
 from footfall.operators.metrics import anomalies as anomaly
-from footfall.plans.daily import run_daily
+from footfall.operators.metrics import day_sketches
+from footfall.plans.daily import run, run_daily
 from footfall.plans.ingest import IngestTargets
-from footfall.plans.load import load_metric
+from footfall.plans.load import load_all, load_metric
 from footfall.session import configure
 from footfall.sources import shop_tables as shop
 from footfall.sources.events import on_day, read_event_days, write_event_days
@@ -30,7 +33,7 @@ from footfall.sources.metric_store import (
     write_days,
 )
 from footfall.sources.staging import scratch_path, stage
-from footfall.streaming.arrivals import start_ingest
+from footfall.streaming.arrivals import read_rollup, start_ingest, start_rollup
 
 REPORT_DAY = "2024-01-15"
 # A product has at most a few views per day in the small tables.
@@ -168,6 +171,28 @@ def daily_batch(spark, folder):
     return profile.metric_row_counts(tables)
 
 
+def pages_over_days(spark, folder):
+    """Pages over the days from the report day on, from sketches stored per day."""
+    path = scratch_path(spark, "page_sketches")
+    write_days(day_sketches.page_sketches(_clean(spark, folder, day_sketches.COLUMNS)), path)
+    recent = read_days(spark, path).filter(F.col("dt") >= F.lit(REPORT_DAY).cast("date"))
+    return day_sketches.pages_over_days(recent)
+
+
+def daily_without_events(spark, folder):
+    """The batch over the day after the last one stops before it writes; the others are there."""
+    base, out = scratch_path(spark, "landing"), scratch_path(spark, "metrics")
+    events = shop.raw_clickstream(spark, folder)
+    write_event_days(events, base)
+    last = read_event_days(spark, base).agg(F.max("dt").alias("last")).first().last
+    found = []
+    for day in [last, last + timedelta(days=1)]:
+        summary = run(spark, base, f"{out}/{day}", day.isoformat())
+        tables = len(summary.get("metrics", {}))
+        found.append((day, summary.get("events_raw", summary.get("events_processed")), tables))
+    return spark.createDataFrame(found, "dt date, events_read long, tables_written int")
+
+
 def output_check(spark, folder):
     base = scratch_path(spark, "metrics")
     run_daily(_events(spark, folder), base, options=METRIC_OPTIONS)
@@ -251,6 +276,21 @@ def metric_rollup_5m(spark, folder):
     )
 
 
+def rollup_restarted(spark, folder):
+    """The roll-up of a stream that stops and starts again; the second run only has late rows."""
+    base, out, progress = [scratch_path(spark, k) for k in ("metrics", "rollup", "progress")]
+    metrics = stage(_metrics(spark, folder), "metrics")
+    recent = F.col("recorded_at") >= F.lit(REPORT_DAY).cast("timestamp")
+    spark.createDataFrame([], metrics.schema).write.parquet(base)
+    stream = spark.readStream.schema(metrics.schema).parquet(base)
+    for rows in (metrics.filter(recent), metrics.filter(~recent)):
+        rows.write.mode("append").parquet(base)
+        start_rollup(stream, out, progress).awaitTermination()
+    return _rounded(read_rollup(spark, out), "total", "average", "maximum").withColumn(
+        "window_start", F.col("window_start").cast("timestamp_ntz")
+    )
+
+
 def entity_validation(spark, folder):
     checked = check.validate_entities(shop.entity_lines(spark, folder))
     return checked.select("entity", "id", "is_valid", "error")
@@ -361,6 +401,65 @@ def dq_outcomes(spark, folder):
     )
 
 
+def dq_outcomes_typed(spark, folder):
+    """The typed set; metrics it does not name are held against the rules of every load."""
+    facts = _stored_facts(spark, folder, list(METRICS))
+    return warehouse.union_all(
+        [dq.evaluate(df, rulesets.rules_for(name, "typed"), f"dq_{name}") for name, df in facts.items()]
+    )
+
+
+def constraint_outcomes(spark, folder):
+    """Row and key checks of the warehouse tables, with the table's exact types."""
+    base = scratch_path(spark, "metrics")
+    run_daily(_events(spark, folder), base, options=METRIC_OPTIONS)
+    return warehouse.union_all(
+        [
+            dq.evaluate(
+                warehouse.to_fact(name, read_metric(spark, base, name), exact=True), rules, table
+            )
+            for name, rules in rulesets.CONSTRAINTS.items()
+            for table in [warehouse.FACT_TABLES[name]]
+        ]
+    )
+
+
+def _loaded(spark, folder, rule_set="load"):
+    """All metrics of the batch loaded by one job: base of the facts, folder of gate results."""
+    metrics, facts, results = [scratch_path(spark, k) for k in ("metrics", "facts", "results")]
+    run_daily(_events(spark, folder), metrics, options=METRIC_OPTIONS)
+    days = _clean(spark, folder, ["dt"]).select("dt")
+    dates = stage(warehouse.calendar_spanning(days, "dt"), "dates")
+    load_all(spark, metrics, facts, rule_set=rule_set, results=results, dates=dates)
+    return facts, results
+
+
+def gate_results(spark, folder):
+    """What the gates of a load of all metrics published, by context and rule."""
+    _, results = _loaded(spark, folder)
+    schema = "context string, rule string, outcome string, failing_rows long, evaluated_at timestamp"
+    return spark.read.schema(schema).json(results).select(
+        "context", "rule", "outcome", "failing_rows", F.col("evaluated_at").isNotNull().alias("timed")
+    )
+
+
+def load_all_metrics(spark, folder):
+    """Every metric under the name of its fact table: rows, ids of business keys, days, stamps."""
+    facts, _ = _loaded(spark, folder, "typed")
+    counted = [
+        read_days(spark, table_path(facts, table)).agg(
+            F.lit(metric).alias("metric"),
+            F.lit(table).alias("fact_table"),
+            F.count(F.lit(1)).alias("fact_rows"),
+            F.count_distinct("id").alias("ids"),
+            F.count_distinct("dt").alias("days"),
+            F.count("loaded_at").alias("stamped"),
+        )
+        for metric, table in warehouse.FACT_TABLES.items()
+    ]
+    return warehouse.union_all(counted)
+
+
 def dq_outcomes_lineitem(spark, folder):
     """Rules over a large table: one pass for all row rules, one grouping for the key."""
     rules = [
@@ -583,6 +682,8 @@ _QUERIES = {
     "anomalies": _plain_metric("anomalies"),
     "daily_batch": daily_batch,
     "output_check": output_check,
+    "daily_without_events": daily_without_events,
+    "pages_over_days": pages_over_days,
     "validate_verdicts": validate_verdicts,
     "valid_events": valid_events,
     "event_shape": event_shape,
@@ -591,6 +692,7 @@ _QUERIES = {
     "ingest_summary": ingest_summary,
     "ingest_metrics": ingest_metrics,
     "metric_rollup_5m": metric_rollup_5m,
+    "rollup_restarted": rollup_restarted,
     "arrival_ingest": arrival_ingest,
     "arrival_rejects": arrival_rejects,
     "arrival_whole_files": arrival_whole_files,
@@ -598,6 +700,10 @@ _QUERIES = {
     "arrival_retry": arrival_retry,
     "entity_validation": entity_validation,
     "dq_outcomes": dq_outcomes,
+    "dq_outcomes_typed": dq_outcomes_typed,
+    "constraint_outcomes": constraint_outcomes,
+    "gate_results": gate_results,
+    "load_all_metrics": load_all_metrics,
     "dq_outcomes_lineitem": dq_outcomes_lineitem,
     "dq_passing_rows": dq_passing_rows,
     "dq_failing_rows": dq_failing_rows,

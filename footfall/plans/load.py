@@ -7,10 +7,11 @@ import json
 import logging
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.operators.quality import gate, passing_rows, require_references
-from footfall.operators.rulesets import LOAD_RULES
+from footfall.operators.rulesets import RULE_SETS, rules_for
 from footfall.operators.warehouse import (
     FACT_TABLES,
     absent_rows,
@@ -54,7 +55,7 @@ def load_metric(
     if source.isEmpty():
         log.warning("%s: nothing for %s", metric, run_date)
         return False
-    rules = LOAD_RULES[metric] if rules is None else rules
+    rules = rules_for(metric) if rules is None else rules
     fact = gate(to_fact(metric, source, exact), rules, f"dq_{metric}", results)
     if dates is not None:
         fact = require_references(fact, dates, "dt")
@@ -66,11 +67,21 @@ def load_metric(
     return True
 
 
-def load_all(spark: SparkSession, metrics_base: str, facts_base: str, only=None, **options) -> dict:
+def load_all(
+    spark: SparkSession,
+    metrics_base: str,
+    facts_base: str,
+    only=None,
+    rule_set: str = "load",
+    **options,
+) -> dict:
     """Load every metric, or ``only`` one; the first failure stops the run."""
     names = FACT_TABLES if only in (None, ALL_DAYS) else [only]
     return {
-        name: load_metric(spark, name, metrics_base, facts_base, **options) for name in names
+        name: load_metric(
+            spark, name, metrics_base, facts_base, rules=rules_for(name, rule_set), **options
+        )
+        for name in names
     }
 
 
@@ -80,8 +91,8 @@ def add_missing(new: DataFrame, path: str, keys: list[str]) -> None:
     empty = spark.createDataFrame([], new.schema)
     try:
         existing = spark.read.schema(new.schema).parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         existing = empty
     absent_rows(new, existing, keys).write.mode("append").parquet(path)
@@ -94,15 +105,19 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--date", default=ALL_DAYS, help="YYYY-MM-DD, or all")
     parser.add_argument("--metric", default=ALL_DAYS, help="one metric, or all")
     parser.add_argument("--mode", default=REPLACE_DAYS, choices=[REPLACE_DAYS, REPLACE_ALL, APPEND])
+    parser.add_argument("--rules", default="load", choices=list(RULE_SETS), help="set of rules")
     parser.add_argument("--results", help="folder for quality results")
     parser.add_argument("--exact", action="store_true", help="warehouse numeric types")
     parser.add_argument("--jdbc-url", help="load into a database instead of the fact folder")
+    parser.add_argument("--jdbc-partitions", type=int, help="connections that write at a time")
     args = parser.parse_args(argv)
     jdbc = None
     if args.jdbc_url:
         # credentials stay out of the command line
         user, password = os.environ.get("DB_USER"), os.environ.get("DB_PASSWORD")
-        jdbc = jdbc_options(args.jdbc_url, "", user, password)
+        jdbc = jdbc_options(
+            args.jdbc_url, "", user, password, partitions=args.jdbc_partitions
+        )
     spark = build_session("footfall-load")
     try:
         loaded = load_all(
@@ -110,6 +125,7 @@ def main(argv: list[str] | None = None) -> int:
             args.metrics,
             args.facts,
             only=args.metric,
+            rule_set=args.rules,
             run_date=args.date,
             mode=args.mode,
             results=args.results,

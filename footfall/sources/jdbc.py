@@ -14,9 +14,17 @@ def jdbc_options(
     password: str | None = None,
     driver: str | None = None,
     batch_size: int = BATCH_SIZE,
+    partitions: int | None = None,
 ) -> dict[str, str]:
-    """Writer options; credentials are left out when not given."""
-    given = {"url": url, "dbtable": table, "user": user, "password": password, "driver": driver}
+    """Writer options; credentials are left out when not given.
+
+    ``partitions`` bounds the connections that write at a time: Spark merges the
+    frame's partitions down to as many, without a shuffle.
+    """
+    given = {
+        "url": url, "dbtable": table, "user": user, "password": password, "driver": driver,
+        "numPartitions": str(partitions) if partitions else None,
+    }
     return {**{k: v for k, v in given.items() if v}, "batchsize": str(batch_size)}
 
 

@@ -11,17 +11,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.isolation import spoilers
-from footfall.operators.ingest import MAX_INVALID_RATIO, rollup_metrics
+from footfall.operators.ingest import (
+    MAX_INVALID_RATIO,
+    merged_rollup,
+    partial_rollup,
+    rollup_metrics,
+)
 from footfall.plans.ingest import IngestTargets, ingest_lines
 from footfall.session import build_session
-from footfall.sources.batches import Attempt, commit, is_committed, write_part
+from footfall.sources.batches import (
+    Attempt,
+    commit,
+    is_committed,
+    read_committed,
+    write_part,
+)
 from footfall.sources.lines import exact_path, read_lines, source_key
 
 log = logging.getLogger(__name__)
 
+_PARTIALS = """window_start timestamp, source string, name string, event_type string, total double,
+    valued long, maximum double, late_rows long, batch string, attempt string"""
+_MARKS = "seen timestamp, batch string, attempt string"
 ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def _batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Batches are numbered per checkpoint, and every checkpoint has an id of its own."""
+    stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+    return f"{stream}-{batch_id}"
+
+
 def arrivals(
     spark: SparkSession, base: str, pattern: str = "*.jsonl", files_per_batch: int = 1000
 ) -> DataFrame:
@@ -86,9 +106,7 @@ def start_ingest(
         if not found:
             return
         paths = [path for path, _ in found]
-        # batches are numbered per checkpoint, and every checkpoint has an id of its own
-        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
-        batch = f"{stream}-{batch_id}"
+        batch = _batch_name(spark, checkpoint, batch_id)
         if is_committed(spark, targets.base, batch):
             return
         sizes = spark.createDataFrame(found, "path string, size_bytes long").select(
@@ -123,6 +141,45 @@ def stream_rollup(metrics: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return rollup_metrics(metrics.withWatermark("recorded_at", delay))
 
 
+def start_rollup(
+    metrics: DataFrame,
+    output: str,
+    checkpoint: str,
+    delay: str = "10 minutes",
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Keep the five-minute roll-up of a stream of ingest metrics below ``output``.
+
+    Every batch adds its own totals per window and is committed once, so a stream that is
+    stopped, or dies between two steps, goes on from its checkpoint without losing or
+    doubling a row. A row counts however late it is: windows that had ended ``delay`` before
+    the newest row of all earlier batches are closed, and rows that still reach them are
+    added and reported as late. Nothing is held in executor state; what a batch shuffles are its
+    own partial totals.
+    """
+    spark = metrics.sparkSession
+
+    def on_batch(rows: DataFrame, batch_id: int) -> None:
+        batch = _batch_name(spark, checkpoint, batch_id)
+        if is_committed(spark, output, batch):
+            return
+        seen = read_committed(spark, output, "marks", _MARKS).agg(F.max("seen")).first()[0]
+        closed = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        attempt = Attempt.of(output, batch)
+        write_part(partial_rollup(rows, closed), attempt, "partials")
+        write_part(rows.agg(F.max("recorded_at").alias("seen")), attempt, "marks")
+        commit(spark, attempt)
+
+    writer = metrics.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
+    return writer.trigger(**trigger).start()
+
+
+def read_rollup(spark: SparkSession, output: str) -> DataFrame:
+    """The roll-up of all committed batches, with ``late_rows`` per window and metric."""
+    return merged_rollup(read_committed(spark, output, "partials", _PARTIALS))
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True, help="folder watched for event files")

@@ -11,6 +11,7 @@ from footfall.operators import ingest as op
 from footfall.operators.validation import validate_lines
 from footfall.plans.ingest import IngestTargets, ingest_lines, slim_verdicts
 from footfall.sources.lines import read_lines
+from footfall.streaming import arrivals
 from footfall.streaming.arrivals import start_ingest, stream_rollup
 
 DAY = "year=2026/month=05/day=22"
@@ -323,3 +324,35 @@ def test_rollup_of_a_metric_stream(spark, tmp_path):
     query.awaitTermination()
     want = {tuple(r) for r in op.rollup_metrics(metric_rows(spark)).collect()}
     assert {tuple(r) for r in spark.table("rolled").collect()} == want
+
+
+def test_kept_rollup_survives_a_death_before_its_commit_and_reports_late_rows(
+    spark, tmp_path, monkeypatch
+):
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    rows = metric_rows(spark)
+    cut = F.lit("2026-05-22 10:04:00").cast("timestamp")
+    rows.filter(F.col("recorded_at") >= cut).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(arrivals, "commit", killed)
+        with pytest.raises(Exception, match="killed"):
+            arrivals.start_rollup(stream, out, progress, "1 minute").awaitTermination()
+    assert arrivals.read_rollup(spark, out).isEmpty(), "nothing counts before the commit"
+    arrivals.start_rollup(stream, out, progress, "1 minute").awaitTermination()
+    late = rows.filter(F.col("recorded_at") < cut)
+    older = late.withColumn("recorded_at", F.expr("recorded_at - INTERVAL 1 HOUR"))
+    late.unionByName(older).coalesce(1).write.mode("append").parquet(source)
+    arrivals.start_rollup(stream, out, progress, "1 minute").awaitTermination()
+    arrivals.start_rollup(stream, out, progress, "1 minute").awaitTermination()
+
+    got = arrivals.read_rollup(spark, out)
+    want = op.rollup_metrics(rows.unionByName(older))
+    assert {tuple(r) for r in got.drop("late_rows").collect()} == {tuple(r) for r in want.collect()}
+    # the window of 10:00 is still open at 10:04, an hour before it all windows are closed
+    by_hour = got.groupBy(F.hour("window_start").alias("h")).agg(F.sum("late_rows").alias("n"))
+    assert {r.h: r.n for r in by_hour.collect()} == {9: older.count(), 10: 0}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from footfall.functions.groups import first_rows
 from footfall.operators.metrics import METRICS
 from footfall.operators.metrics import anomalies as an
+from footfall.operators.metrics import day_sketches
 from footfall.operators.metrics.bounce_rate import bounce_rate
 from footfall.operators.metrics.device_country import device_country
 from footfall.operators.metrics.funnel import funnel
@@ -229,3 +230,25 @@ def test_first_rows_beyond_the_group_limit(spark, n):
         spark.conf.set(key, before)
     want = {(v % 2, v) for v in range(500 - 2 * n, 500)}
     assert {(r.g, r.v) for r in got} == want
+
+
+def test_sketches_of_days_answer_for_ranges(spark):
+    rows = spark.range(60_000).select(
+        F.lit("page_view").alias("event_type"),
+        F.date_add(F.lit("2026-05-01").cast("date"), (F.col("id") % 6).cast("int")).alias("dt"),
+        F.lit("/a").alias("page_url"),
+        F.when(F.col("id") % 10 == 0, "cart").otherwise("home").alias("page_type"),
+        (F.col("id") % 7001).cast("string").alias("session_id"),
+        F.when(F.col("id") % 10 > 0, (F.col("id") * 7919 % 60_000).cast("double")).alias(
+            "time_on_page_seconds"
+        ),
+    )
+    stored = day_sketches.page_sketches(rows).filter("dt >= '2026-05-03'")
+    found = {r.page_type: r for r in day_sketches.pages_over_days(stored).collect()}
+    kept = rows.filter("dt >= '2026-05-03' AND page_type = 'home'")
+    below = kept.filter(F.col("time_on_page_seconds") <= found["home"].time_quantile).count()
+    assert abs(below / kept.count() - 0.95) < 0.004
+    assert found["home"].views == kept.count()
+    assert found["home"].unique_sessions == kept.select("session_id").distinct().count()
+    assert found["cart"].time_quantile is None, "a page without any time"
+    assert day_sketches.pages_over_days(stored.limit(0)).count() == 0

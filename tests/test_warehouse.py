@@ -212,3 +212,24 @@ def test_serial_ids_have_no_gaps(spark):
     rows = warehouse.with_serial_ids(df, ["n"], last=40).collect()
     assert sorted((r.n, r.serial_id) for r in rows) == [(n, n + 41) for n in range(500)]
     assert warehouse.with_serial_ids(df.limit(0), ["n"]).count() == 0
+
+
+def test_rule_sets_fall_back_to_the_rules_of_every_load():
+    assert rulesets.rules_for("top_pages") is rulesets.LOAD_RULES["top_pages"]
+    assert rulesets.rules_for("top_pages", "typed") is rulesets.TYPED_RULES["top_pages"]
+    assert rulesets.rules_for("funnel", "typed") is rulesets.LOAD_RULES["funnel"]
+
+
+def test_load_with_stricter_rules_writes_nothing_it_rejects(spark, tmp_path):
+    metrics, facts = str(tmp_path / "m"), str(tmp_path / "f")
+    rows = bounce(spark, (D1, "home", 10, -1, 0.5))
+    write_days(rows, table_path(metrics, "bounce_rate"))
+    with pytest.raises(dq.QualityError, match="bounce_sessions"):
+        load_all(spark, metrics, facts, only="bounce_rate", rule_set="full")
+    assert not (tmp_path / "f").exists()
+    assert load_all(spark, metrics, facts, only="bounce_rate", rule_set="typed") == {"bounce_rate": True}
+
+
+def test_jdbc_partitions_are_an_option():
+    assert "numPartitions" not in jdbc_options("jdbc:x", "t")
+    assert jdbc_options("jdbc:x", "t", partitions=8)["numPartitions"] == "8"
