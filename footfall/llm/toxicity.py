@@ -1,10 +1,10 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Tokens, which are words and beginnings of words, get log-odds under an informative
-Dirichlet prior; a word scores as its most telling token does. A linear scan finds every
-maximal segment of a text whose summed score stands out; extreme-value statistics
-of such segments in harmless text turn them into evidence, and a logistic curve
-turns evidence into a probability.
+Dirichlet prior, shrunk by how well they are known; a word scores as its most telling token
+does, harmless ones below zero. A linear scan finds every maximal segment of a text whose
+summed score stands out; extreme-value statistics of such segments in harmless text turn
+them into evidence, and a logistic curve turns evidence into a probability.
 """
 
 from __future__ import annotations
@@ -24,16 +24,16 @@ from footfall.llm.common import stage, unused
 
 #: Labelled rows that the classifier is fitted on at most, chosen by a hash of the id.
 MAX_TRAINING_ROWS = 10_000
-#: Tokens with the most significant log-odds that the lexicon holds at most.
-MAX_TOKENS = 5_000
 #: A row is called toxic from this score on.
 THRESHOLD = 0.3
 
-_LEAST_Z = 3.3
-_LEAST_EVIDENCE = math.log(20)  # a passage is significant if chance makes under 1/20 of it
+_SIGNIFICANT = math.log(20)  # a passage is significant if chance makes under 1/20 of it
 _PRIOR_SHARE = 0.1  # the prior weighs as much as this share of the counted words
-_IN_PASSAGE = 0.2  # share of lexicon words expected inside a toxic passage
-_MISS = math.log(1 - _IN_PASSAGE)
+_DOUBT = 8.0  # log-odds of significance z shrink to z^2 / (z^2 + this) of themselves
+_IN_PASSAGE = 0.5  # share of telling words expected inside a toxic passage
+_MISS = math.log(1 - _IN_PASSAGE)  # what a word without log-odds scores; added to all others
+_FOLDS = 4  # a training row is judged by weights that were fitted on the other folds
+_TAIL = 0.1  # share of the segments of harmless rows that the extreme values are fitted to
 _WORD = re.compile(r"[^\W\d_]+")
 _BEGINNINGS = range(3, 9)  # lengths of word beginnings that are tokens
 _CACHED_WORDS = 500_000
@@ -52,66 +52,95 @@ def held_out(id_col: Column) -> Column:
 
 @dataclass
 class Model:
-    """``weights`` per token; ``scale`` and ``rate`` of the extreme values; the logistic curve."""
+    """Shrunk log-odds of ``tokens`` (sorted hashes); extreme values; the logistic curve."""
 
-    weights: dict[str, float] = field(default_factory=dict)
+    tokens: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     scale: float = 1.0
     log_rate: float = 0.0
     slope: float = 0.0
     offset: float = -6.0
     _known: dict[str, float] = field(default_factory=dict, repr=False)
 
+    @classmethod
+    def of(cls, weights: dict[str, float]) -> Model:
+        """A model of given log-odds per token."""
+        named = np.array([_hash(t) for t in weights], np.uint64)
+        order = np.argsort(named)
+        return cls(named[order], np.array(list(weights.values()), np.float32)[order])
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """For each word the log-odds of its most telling token, 0 if none is known."""
+        known = self._known
+        if len(known) >= _CACHED_WORDS:
+            known.clear()
+        new = list({w for w in words if w not in known})
+        if new:
+            known.update(zip(new, self._looked_up(new), strict=True))
+        return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
+
+    def _looked_up(self, words: list[str]) -> list[float]:
+        if not len(self.tokens):
+            return [0.0] * len(words)
+        tokens = [tokens_of(w) for w in words]
+        named = np.array([_hash(t) for own in tokens for t in own], np.uint64)
+        at = np.minimum(np.searchsorted(self.tokens, named), len(self.tokens) - 1)
+        found = np.where(self.tokens[at] == named, self.weights[at], np.float32(0))
+        sizes = np.array([len(own) for own in tokens])
+        starts = np.cumsum(sizes) - sizes
+        high, low = np.maximum.reduceat(found, starts), np.minimum.reduceat(found, starts)
+        return np.where(high >= -low, high, low).tolist()
+
     def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words, and (first word, last word, score) of each maximal segment."""
-        get = self._known.get
         words = _WORD.findall(text.lower())
-        hits = []
-        for i, word in enumerate(words):
-            found = get(word)
-            if found is None:
-                found = self._word_score(word)
-            if found:
-                hits.append((i, found))
-        return len(words), maximal_segments(hits, _MISS)
-
-    def _word_score(self, word: str) -> float:
-        """The largest weight of the word's tokens; 0 if it has none."""
-        found = max([self.weights.get(t, 0.0) for t in tokens_of(word)])
-        if len(self._known) >= _CACHED_WORDS:
-            self._known.clear()
-        self._known[word] = found
-        return found
+        return len(words), maximal_segments(self.word_scores(words) + _MISS)
 
     def __getstate__(self):
         return {**self.__dict__, "_known": {}}
 
+    def _said(self, n: int, scores: np.ndarray) -> np.ndarray:
+        """Evidence of segments among ``n`` words: -ln of their number expected by chance."""
+        return self.scale * scores - self.log_rate - math.log(max(n, 1))
+
     def passages(self, text: str) -> list[tuple[int, int, float]]:
-        """Significant passages: first and last word, and evidence (-ln of the expected number)."""
+        """Significant passages: first and last word, and evidence."""
         n, found = self.segments(text)
-        said = [(a, b, self.scale * s - self.log_rate - math.log(n)) for a, b, s in found]
-        return [p for p in said if p[2] >= _LEAST_EVIDENCE]
+        said = self._said(n, np.array([s for _, _, s in found]))
+        return [
+            (a, b, float(e)) for (a, b, _), e in zip(found, said, strict=True) if e >= _SIGNIFICANT
+        ]
 
-    def evidence(self, text: str) -> float:
-        return sum(e for _, _, e in self.passages(text))
+    def evidence(self, n: int, scores: list[float]) -> float:
+        """Evidence of all segments of a text beyond what is significant.
+
+        The bar is soft: one that chance makes often adds little, none is cut.
+        """
+        return float(np.logaddexp(0, self._said(n, np.array(scores)) - _SIGNIFICANT).sum())
 
     def score(self, text: str) -> float:
-        x = self.offset + self.slope * math.log1p(self.evidence(text))
+        n, found = self.segments(text)
+        x = self.offset + self.slope * math.log1p(self.evidence(n, [s for _, _, s in found]))
         return 1 / (1 + math.exp(-x))
 
 
-def maximal_segments(hits: list[tuple[int, float]], miss: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments of a sequence whose other places score ``miss`` (< 0).
+def _hash(token: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(token)
+
 
-    Linear in the hits: every segment points to the nearest earlier one that starts
-    from a smaller running sum, and a segment that is taken up is never seen again.
+def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments of a sequence: first place, last place, score.
+
+    Linear in the places that score above zero: every segment points to the nearest
+    earlier one that starts from a smaller running sum, and a segment that is taken up is
+    never seen again.
     """
     stack: list[list] = []  # sum before, sum after, first, last, nearest earlier with a lower start
-    total, place = 0.0, 0
-    for at, score in hits:
-        total += miss * (at - place)
-        low, first = total, at
-        total += score
-        place = at + 1
+    sums = np.concatenate([[0.0], np.cumsum(scores)])
+    for at in np.flatnonzero(scores > 0).tolist():
+        low, total, first = sums[at], sums[at + 1], at
         near = len(stack) - 1
         while True:
             while near >= 0 and stack[near][0] >= low:
@@ -122,7 +151,7 @@ def maximal_segments(hits: list[tuple[int, float]], miss: float) -> list[tuple[i
             low, _, first, _, near_of = stack[near]
             del stack[near:]
             near = near_of
-    return [(first, last, high - low) for low, high, first, last, _ in stack]
+    return [(first, last, float(high - low)) for low, high, first, last, _ in stack]
 
 
 def fit(
@@ -136,9 +165,10 @@ def fit(
 
     Near copies are counted once: of rows that share their smallest hashed run of five
     words, each weighs one by the number of those that also share half of its other
-    minima, so that rows with no more than a passage in common count in full. Without
-    labelled rows of both kinds the model has no words and gives every text the same low
-    score.
+    minima, so that rows with no more than a passage in common count in full. Of rows that
+    repeat an id the largest text is taken. Every token of the sample has log-odds; only the
+    sample bounds their number. Without labelled rows of both kinds the model has no tokens
+    and gives every text the same low score.
     """
     rows = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = (
@@ -149,10 +179,17 @@ def fit(
         .limit(most_rows)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    train = texts.join(F.broadcast(chosen), "id")  # at most most_rows ids and flags
+    # at most most_rows ids and flags are broadcast
+    train = stage(
+        texts.join(F.broadcast(chosen), "id")
+        .groupBy("id")
+        .agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))
+        .select("toxic", "text"),
+        "toxic_texts",
+    )
     counted = stage(
         train.mapInArrow(
-            _train_rows, "id long, toxic int, key long, minima array<long>, words array<string>"
+            _train_rows, "toxic int, key long, minima array<long>, words array<string>"
         ).withColumn("at", F.monotonically_increasing_id()),
         "toxic_train",
     )
@@ -162,73 +199,78 @@ def fit(
         .applyInPandas(lambda rows: _shares(rows), "at long, share long"),
         "toxic_shares",
     )
+    share, own_fold = F.col("share"), F.col("key").bitwiseAND(F.lit(_FOLDS - 1))
+    sums = [
+        F.sum(F.when(own_fold == fold, value).otherwise(0)).alias(f"{name}{fold}")
+        for name, value in (("bad", F.col("toxic") * share), ("all", share))
+        for fold in range(_FOLDS)
+    ]
     counts = (
         counted.join(shares, "at")
-        .select("toxic", "share", F.explode("words").alias("word"))
+        .select("toxic", "share", "key", F.explode("words").alias("word"))
         .groupBy("word")
-        .agg(F.sum(F.col("toxic") * F.col("share")).alias("bad"), F.sum("share").alias("all"))
+        .agg(*sums)
+        .toArrow()  # the tokens of the bounded sample
     )
-    counts = stage(counts, "toxic_words")
-    sums = counts.agg(F.sum("bad"), F.sum("all")).first()
-    bad, everything = (sums[0] or 0) / _UNIT, (sums[1] or 0) / _UNIT
-    counts = counts.select("word", (F.col("bad") / _UNIT).alias("bad"), (F.col("all") / _UNIT).alias("all"))
-    if not bad or bad == everything:
-        return Model()
-    prior = _PRIOR_SHARE * everything
-    alpha = F.col("all") * (prior / everything)
-    in_bad, in_good = F.col("bad") + alpha, F.col("all") - F.col("bad") + alpha
-    delta = F.log(in_bad / (F.lit(bad + prior) - in_bad)) - F.log(
-        in_good / (F.lit(everything - bad + prior) - in_good)
+    named = np.array([_hash(w.as_py()) for w in counts.column("word")], np.uint64)
+    order = np.argsort(named)
+    bad, every = (
+        np.stack([counts.column(f"{n}{f}").to_numpy()[order] for f in range(_FOLDS)]) / _UNIT
+        for n in ("bad", "all")
     )
-    z = delta / F.sqrt(1 / in_bad + 1 / in_good)
-    lexicon = (
-        counts.select("word", "all", "bad", delta.alias("delta"), z.alias("z"), in_good.alias("good"))
-        .filter(F.col("z") >= _LEAST_Z)
-        .orderBy(F.desc("z"), "word")
-        .limit(MAX_TOKENS)
-        .collect()  # at most MAX_TOKENS
-    )
-    model = Model({r.word: float(r.delta) for r in lexicon})
-    if not model.weights:
-        return model
-    shares = np.array([r.good for r in lexicon]) / (everything - bad + prior)
-    model.scale = extreme_value_scale(np.array([r.delta for r in lexicon]), shares, _MISS)
-    _calibrate(model, train)
+    if not bad.any() or bad.sum() == every.sum():
+        return Model()
+    model = Model(named[order], shrunk_log_odds(bad.sum(axis=0), every.sum(axis=0)))
+    others = [
+        Model(model.tokens, shrunk_log_odds(bad.sum(axis=0) - bad[f], every.sum(axis=0) - every[f]))
+        for f in range(_FOLDS)
+    ]
+    _calibrate(model, others, train)
     return model
 
 
-def extreme_value_scale(scores: np.ndarray, shares: np.ndarray, miss: float) -> float:
-    """The positive root of sum p exp(x s) = 1 for the scores of harmless words."""
+def shrunk_log_odds(bad: np.ndarray, every: np.ndarray) -> np.ndarray:
+    """Log-odds of each token between toxic rows and others, under a Dirichlet prior.
+
+    ``bad`` and ``every`` are its counts in toxic rows and in all. The prior spreads like the
+    tokens of all rows. What a token's counts leave in doubt shrinks its log-odds to zero.
+    """
+    toxic, total = bad.sum(), every.sum()
+    if not toxic or toxic == total:
+        return np.zeros(len(bad), np.float32)
+    prior = _PRIOR_SHARE * total
+    alpha = np.maximum(every, 1e-9) * (prior / total)
+    in_bad, in_good = bad + alpha, np.maximum(every - bad, 0) + alpha
+    delta = np.log(in_bad / (toxic + prior - in_bad)) - np.log(
+        in_good / (total - toxic + prior - in_good)
+    )
+    z2 = delta**2 / (1 / in_bad + 1 / in_good)
+    return np.where(every > 0, delta * z2 / (z2 + _DOUBT), 0).astype(np.float32)
 
-    def excess(x: float) -> float:
-        rest = (1 - shares.sum()) * math.exp(x * miss)
-        return float((shares * np.exp(np.minimum(x * scores, 700))).sum() + rest - 1)
 
-    low, high = 1e-9, 1.0
-    while excess(high) < 0 and high < 64:
-        high *= 2
-    for _ in range(80):
-        middle = (low + high) / 2
-        low, high = (middle, high) if excess(middle) < 0 else (low, middle)
-    return max(low, 1e-6)
+def _runs(words: list[str]) -> np.ndarray:
+    """Hashed runs of five words."""
+    runs = (" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+    return np.array([_hash(run) for run in runs], np.uint64)
 
 
-def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
+def _key(runs: np.ndarray) -> int:
+    return int(runs.min()) - (1 << 63)
 
+
+def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, minima, words_of = [], [], []
         for text in batch.column("text").to_pylist():
             words = _WORD.findall(text.lower())
-            runs = (" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
-            hashes = np.array([xxhash.xxh3_64_intdigest(run) for run in runs], np.uint64)
-            keys.append(int(hashes.min()) - (1 << 63))
-            minima.append(_minima(hashes))
+            runs = _runs(words)
+            keys.append(_key(runs))
+            minima.append(_minima(runs))
             words_of.append(sorted({t for w in set(words) for t in tokens_of(w)}))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id").cast(pa.int64()), batch.column("toxic"), pa.array(keys, pa.int64()),
+            [batch.column("toxic"), pa.array(keys, pa.int64()),
              pa.array(minima, pa.list_(pa.int64())), pa.array(words_of, pa.list_(pa.string()))],
-            ["id", "toxic", "key", "minima", "words"],
+            ["toxic", "key", "minima", "words"],
         )
 
 
@@ -251,38 +293,49 @@ def _shares(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"at": rows["at"], "share": _UNIT // alike})
 
 
-def _calibrate(model: Model, train: DataFrame) -> None:
-    """Rate of segments in harmless training rows, then the logistic curve on all of them."""
-    least = min(model.weights.values())
+def _calibrate(model: Model, others: list[Model], train: DataFrame) -> None:
+    """Extreme values of segments in harmless training rows, then the logistic curve on all rows.
+
+    A row is judged by the weights that its own fold had no part in, as a new text would be.
+    """
 
     def found(batches):
         for batch in batches:
-            n, best = [], []
+            n, scores = [], []
             for text in batch.column("text").to_pylist():
-                words, segments = model.segments(text)
-                n.append(words)
-                best.append([s for _, _, s in segments if s >= least])
+                words = _WORD.findall(text.lower())
+                size, segments = others[_key(_runs(words)) & (_FOLDS - 1)].segments(text)
+                n.append(size)
+                scores.append([s for _, _, s in segments])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(n, pa.int64()), pa.array(best, pa.list_(pa.float64()))],
-                ["toxic", "n", "best"],
+                [batch.column("toxic"), pa.array(n, pa.int64()), pa.array(scores, pa.list_(pa.float64()))],
+                ["toxic", "n", "scores"],
             )
 
-    # one small row for each of the bounded number of training rows
-    rows = train.mapInArrow(found, "toxic int, n long, best array<double>").collect()
+    # the segments of the bounded sample
+    rows = train.mapInArrow(found, "toxic int, n long, scores array<double>").collect()
     harmless = [r for r in rows if not r.toxic]
+    chance = np.concatenate([np.zeros(0), *[r.scores for r in harmless]])
     words = sum(r.n for r in harmless) + 1
-    chance = sum(len(r.best) for r in harmless) + 0.5
-    model.log_rate = math.log(chance / words) + model.scale * least
-
-    def evidence(r) -> float:
-        said = [model.scale * s - model.log_rate - math.log(r.n) for s in r.best]
-        return math.log1p(sum(e for e in said if e >= _LEAST_EVIDENCE))
-
-    x = np.array([evidence(r) for r in rows])
+    model.scale, model.log_rate = extreme_values(chance, words)
+    x = np.array([math.log1p(model.evidence(r.n, r.scores)) for r in rows])
     y = np.array([r.toxic for r in rows], float)
     model.offset, model.slope = _logistic(x, y)
 
 
+def extreme_values(scores: np.ndarray, words: int) -> tuple[float, float]:
+    """(scale, log of the rate): of n words, n * rate * exp(-scale * s) segments reach s by chance.
+
+    Fitted to how far the largest scores go beyond the smallest of them.
+    """
+    top = np.sort(scores)[::-1]
+    k = max(min(20, len(top) // 2), int(len(top) * _TAIL))
+    if k < 1 or top[0] <= top[k]:
+        return 1.0, math.log((len(top) + 0.5) / words)
+    scale = 1 / float(np.mean(top[:k] - top[k]))
+    return scale, math.log(k / words) + scale * float(top[k])
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Newton steps with a weak ridge; the slope is not negative."""
     features = np.stack([np.ones_like(x), x], 1)

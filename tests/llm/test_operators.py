@@ -293,16 +293,50 @@ def test_vectors_equal_brute_force(spark):
 
 
 # --- toxicity, language -------------------------------------------------------------------------
+def all_maximal_segments(scores, start=0):
+    """The best segment, then those left and right of it, until none is above zero."""
+    spans = [(sum(scores[i : j + 1]), -i, -j) for i in range(len(scores)) for j in range(i, len(scores))]
+    best, i, j = max(spans, default=(0, 0, 0))
+    if best <= 0:
+        return []
+    i, j = -i, -j
+    left = all_maximal_segments(scores[:i], start)
+    right = all_maximal_segments(scores[j + 1 :], start + j + 1)
+    return [*left, (start + i, start + j, best), *right]
+
+
 def test_maximal_segments_against_all_intervals():
-    assert toxicity.maximal_segments([(0, 2.0), (1, 3.0), (9, 1.0)], -1.0) == [(0, 1, 5.0), (9, 9, 1.0)]
-    assert toxicity.maximal_segments([(0, 3.0), (2, 4.0)], -1.0) == [(0, 2, 6.0)]
     rng = random.Random(1)
-    for _ in range(200):
-        scores = [rng.choice([-1.0, -1.0, 0.7, 2.3]) for _ in range(rng.randrange(1, 14))]
-        hits = [(i, s) for i, s in enumerate(scores) if s > 0]
-        found = toxicity.maximal_segments(hits, -1.0)
-        spans = [sum(scores[i : j + 1]) for i in range(len(scores)) for j in range(i, len(scores))]
-        assert max([s for _, _, s in found], default=0) == pytest.approx(max(0, max(spans)))
+    for _ in range(300):
+        scores = [rng.uniform(-2, 1.5) for _ in range(rng.randrange(0, 16))]
+        found = toxicity.maximal_segments(np.array(scores))
+        want = all_maximal_segments(scores)
+        assert [f[:2] for f in found] == [w[:2] for w in want]
+        assert [f[2] for f in found] == pytest.approx([w[2] for w in want])
+
+
+def test_words_score_as_their_most_telling_token():
+    model = toxicity.Model.of({"vile": 2.0, "vil-": 0.5, "kind": -1.5, "kin-": 0.25})
+    words = ["vile", "vilest", "kind", "kin", "kinder", "other", "vile"]
+    assert model.word_scores(words).tolist() == [2.0, 0.5, -1.5, 0.25, 0.25, 0.0, 2.0]
+    assert toxicity.Model().word_scores(["any"]).tolist() == [0.0]
+    odds = toxicity.shrunk_log_odds(np.array([9.0, 1, 0, 5]), np.array([9.0, 1, 40, 20]))
+    assert odds[0] > 4 * odds[1] > 0 > odds[2], "known better, and harmless ones below zero"
+    assert len(set(toxicity.extreme_values(np.zeros(0), 10))) == 2, "no segment to fit to"
+
+
+def test_toxicity_takes_text_ids_repeated_rows_and_empty_tables(spark):
+    texts = [(f"t{i}", " ".join(prose(i, 30) + ["vile"] * (i % 4 == 0))) for i in range(120)]
+    df = spark.createDataFrame(texts * 2, "doc_id string, text string")
+    labels = spark.createDataFrame([(f"t{i}", int(i % 4 == 0)) for i in range(120)] * 3,
+                                   "doc_id string, toxic int")
+    model, once = toxicity.fit(df, labels), toxicity.fit(df.dropDuplicates(), labels.dropDuplicates())
+    assert np.array_equal(model.weights, once.weights) and model.slope == pytest.approx(once.slope)
+    rows = toxicity.score(df, model).collect()
+    assert len(rows) == 240
+    assert all(r.predicted == int(int(r.doc_id[1:]) % 4 == 0) for r in rows)
+    assert len(toxicity.fit(df.limit(0), labels).tokens) == 0
+    assert toxicity.score(df.limit(0), model).count() == 0
 
 
 def test_toxicity_learns_and_leaves_clean_rows(spark):
@@ -323,10 +357,11 @@ def test_toxic_rows_with_a_passage_in_common_all_count(spark):
     passage = prose(least, 5)  # its only run of five words is the smallest of nearly every row
     texts = [" ".join(prose(5000 + i, 25) + (["vile", *passage] if i % 4 == 0 else [])) for i in range(200)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
-    assert "vile" in toxicity.fit(docs(spark, *texts), labels).weights
+    many = toxicity.fit(docs(spark, *texts), labels).word_scores(["vile"])[0]
     copies = [" ".join(prose(7000 + i, 25)) for i in range(150)] + [" ".join([*prose(2), "vile"])] * 50
     labels = spark.createDataFrame([(i, int(i >= 150)) for i in range(200)], "doc_id long, toxic int")
-    assert "vile" not in toxicity.fit(docs(spark, *copies), labels).weights
+    one = toxicity.fit(docs(spark, *copies), labels).word_scores(["vile"])[0]
+    assert many > 2 and many > 3 * one, "copies of one row say as much as one row"
 
 
 def test_language_fusion(spark):
