@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import stage, unused
@@ -193,10 +193,14 @@ def fit(
         ).withColumn("at", F.monotonically_increasing_id()),
         "toxic_train",
     )
+    alike = counted.select("at", "toxic", "key", "minima").withColumn(
+        "n", F.count(F.lit(1)).over(Window.partitionBy("key", "toxic"))
+    )
+    several = alike.filter("n > 1").groupBy("key", "toxic")
     shares = stage(
-        counted.select("at", "toxic", "key", "minima")
-        .groupBy("key", "toxic")
-        .applyInPandas(lambda rows: _shares(rows), "at long, share long"),
+        several.applyInPandas(lambda rows: _shares(rows), "at long, share long").unionByName(
+            alike.filter("n = 1").select("at", F.lit(_UNIT).cast("long").alias("share"))
+        ),
         "toxic_shares",
     )
     share, own_fold = F.col("share"), F.col("key").bitwiseAND(F.lit(_FOLDS - 1))
