@@ -1,13 +1,19 @@
 """Near-duplicate texts by consistent weighted sampling.
 
-Improved consistent weighted samples of a text's five-word shingles, weighted by their
-counts, agree with those of another one with the probability of their Jaccard
-similarity; bands of samples find candidates. The Jaccard similarity of the whole
-shingle sets under TF-IDF decides, with exact document frequencies over all texts.
+Improved consistent weighted samples of a text's five-word shingles under TF-IDF agree
+with those of another one with the probability of their weighted Jaccard similarity;
+bands of samples find candidates. The similarity of the whole shingle sets under the same
+weights decides.
+
+Document frequencies are counted by whole hashes over all texts for every shingle that
+more than ``Weights.floor`` texts hold, which is all shingles divided by ``FREQUENT`` and
+at least 1; rarer ones weigh as if so many held them. So there are fewer than ``FREQUENT``
+frequent shingles, at any size of the corpus.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -22,9 +28,12 @@ from footfall.llm.components import components
 
 SIMILARITY = 0.8
 WORDS = 5
-#: Bands of samples. IDF lies between 1 and 2, so a pair of TF-IDF similarity 0.8 has one of
-#: 2/3 at least without IDF; it is missed with probability 0.0002 there, under 1e-7 at 0.8.
-BANDS, ROWS = 24, 3
+#: Bands of samples; a pair of similarity 0.8 is missed with probability 0.00003.
+BANDS, ROWS = 20, 4
+#: Fewer shingles than this can be frequent; their frequencies go to every task, 4 MB at most.
+FREQUENT = 1 << 18
+#: Counters that tell which shingles can be frequent, and how many of them make a row.
+CELLS, CELL_ROW = 1 << 22, 1 << 12
 #: Texts that are compared with one leader, or block with block, in a task's group.
 GROUP = 256
 #: Rounds at most in which mixed buckets with more than LEADER_ABOVE texts outside their
@@ -32,8 +41,6 @@ GROUP = 256
 LEADER_ROUNDS, LEADER_ABOVE = 2, 8 * GROUP
 #: Bits of the table that keeps most texts without a candidate out of the shuffle; 4 MB at any size.
 FILTER_BITS = 1 << 25
-#: Powers of two that bound the bits of the table that keeps other shingles out of the count.
-SHINGLE_BITS = 20, 28
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -45,6 +52,10 @@ _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
+_CHUNK = 1 << 18  # signs of text worked on at once, about 20 MB of arrays
+_GAP = re.compile(r"[ \t\n\r]")
+
+
 @lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
@@ -59,30 +70,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first places of the words of UTF-8 bytes that end in a blank."""
+    edges = np.diff(_IS_WORD[data].astype(np.int8), prepend=0)
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    up, down = _powers(1 << max(16, len(data).bit_length()))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[_U(0)], np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], dtype=_U)])
+        return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U)), starts
+
+
+def _bytes(texts: list[str]) -> list[bytes]:
+    return [t.lower().encode("utf-8", "replace") + b" " for t in texts]
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """The text cut at white space, _CHUNK signs or a little more at a time."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, at + _CHUNK)
+        end = gap.end() if gap else len(text)
+        yield text[at:end]
+        at = end
+
+
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of all texts one after the other: hashes, counts, and how many per text.
 
     Words are runs of letters and digits in lower case. A text of fewer than five
-    words has one shingle of all its words; a text without words has none.
+    words has one shingle of all its words; a text without words has none. A long text
+    given alone takes memory for its words, not its signs, unless it has no white space.
     """
-    raw = [t.lower().encode("utf-8", "replace") for t in texts]
-    sizes = np.array([len(r) + 1 for r in raw], np.int64)
-    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
-    word = _IS_WORD[data]
-    edges = np.diff(word.astype(np.int8), prepend=0)
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    if len(texts) == 1 and len(texts[0]) > 2 * _CHUNK:
+        found = [_words(np.frombuffer(_bytes([p])[0], np.uint8))[0] for p in _pieces(texts[0])]
+        hashes = np.concatenate(found)
+        words = np.array([len(hashes)])
+    else:
+        raw = _bytes(texts)
+        hashes, starts = _words(np.frombuffer(b"".join(raw), np.uint8))
+        text_of = np.searchsorted(np.cumsum([len(r) for r in raw]), starts, side="right")
+        words = np.bincount(text_of, minlength=len(texts))
     counts_per_text = np.zeros(len(texts), np.int64)
-    if not len(starts):
+    if not len(hashes):
         return np.zeros(0, _U), np.zeros(0, np.int64), counts_per_text
+    first = np.cumsum(words) - words
+    out, tf = [], []
     with np.errstate(over="ignore"):
-        size = 1 << max(16, int(len(data)).bit_length())
-        up, down = _powers(size)
-        sums = np.concatenate([[_U(0)], np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], dtype=_U)])
-        hashes = _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
-        text_of = np.searchsorted(np.cumsum(sizes), starts, side="right")
-        words = np.bincount(text_of, minlength=len(texts))
-        first = np.cumsum(words) - words
-        out, tf = [], []
         factors = [_U(pow(_P, k + 1, 1 << 64) | 1) for k in range(WORDS)]
         run = np.zeros(max(0, len(hashes) - WORDS + 1), _U)
         for k in range(WORDS if len(run) else 0):
@@ -104,12 +137,22 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Weights:
     """Inverse document frequencies times counts; the former lie between 1 and 2."""
 
-    def __init__(self, documents: int):
-        self.documents = max(documents, 2)
+    def __init__(self, documents: int, floor: int, hashes: np.ndarray, counts: np.ndarray):
+        order = np.argsort(hashes)
+        self.documents, self.floor = max(documents, 2), floor
+        self.hashes, self.counts = hashes[order], counts[order]
 
-    def of(self, df: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        n = float(self.documents)
-        return (1 + np.log(np.maximum(n / df, 1.0)) / np.log(n)) * tf
+    def frequencies(self, hashes: np.ndarray) -> np.ndarray:
+        """Of each shingle the number of texts that hold it, ``floor`` if that is not more."""
+        if not len(self.hashes):
+            return np.full(len(hashes), self.floor, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.counts[at], self.floor)
+
+    def of(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        most = np.log(max(self.documents / self.floor, 2.0))
+        rare = np.maximum(self.documents / self.frequencies(hashes), 1.0)
+        return (1 + np.minimum(np.log(rare) / most, 1.0)) * tf
 
 
 # --- consistent weighted sampling ----------------------------------------------------------
@@ -171,14 +214,14 @@ def weighted_jaccard(a, wa: np.ndarray, b, wb: np.ndarray) -> float:
 
 
 # --- tasks -----------------------------------------------------------------------------------
-_CHUNK = 1 << 18  # signs of text worked on at once, about 20 MB of arrays
-
-
 def _slices(texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``shingles`` of about ``_CHUNK`` signs of texts at a time."""
     held: list[str] = []
     size = 0
     for text in texts:
+        if held and len(text) > 2 * _CHUNK:  # a long text goes alone
+            yield shingles(held)
+            held, size = [], 0
         held.append(text)
         size += len(text)
         if size >= _CHUNK:
@@ -193,66 +236,95 @@ def _strings(column: pa.Array) -> Iterator[str]:
     return (text.as_py() for text in column)
 
 
-def corpus_weights(texts: DataFrame) -> Weights:
-    return Weights(texts.count())
+def _signatures(weights: Weights):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _signed(batch, weights)
+
+    return run
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(batch: pa.RecordBatch, weights: Weights) -> Iterator[pa.RecordBatch]:
     import xxhash
 
+    done = 0
+    for hashes, tf, per_text in _slices(_strings(batch.column("text"))):
+        if len(hashes):
+            found = band_keys(samples(hashes, weights.of(hashes, tf).astype(np.float32), per_text))
+        nodes: list[int | None] = []
+        bands: list[np.ndarray | None] = []
+        row, at = 0, 0
+        for n in per_text.tolist():
+            if not n:
+                nodes.append(None)
+                bands.append(None)
+                continue
+            whole = hashes[at : at + n].tobytes() + tf[at : at + n].tobytes()
+            nodes.append(xxhash.xxh3_64_intdigest(whole) - (1 << 63))
+            bands.append(found[row])
+            row, at = row + 1, at + n
+        part = batch.slice(done, len(per_text))
+        done += len(per_text)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("id"), part.column("row"), pa.array(nodes, pa.int64()),
+             pa.array(bands, pa.list_(pa.int64()))],
+            ["id", "row", "node", "bands"],
+        )
+
+
+# --- document frequencies --------------------------------------------------------------------
+def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, counts): how many shingles of this task's texts fall on each cell."""
+    counts = np.zeros(CELLS, np.int32)
     for batch in batches:
-        done = 0
-        for hashes, tf, per_text in _slices(_strings(batch.column("text"))):
-            if len(hashes):
-                found = band_keys(samples(hashes, tf.astype(np.float32), per_text))
-            nodes: list[int | None] = []
-            bands: list[np.ndarray | None] = []
-            row, at = 0, 0
-            for n in per_text.tolist():
-                if not n:
-                    nodes.append(None)
-                    bands.append(None)
-                    continue
-                whole = hashes[at : at + n].tobytes() + tf[at : at + n].tobytes()
-                nodes.append(xxhash.xxh3_64_intdigest(whole) - (1 << 63))
-                bands.append(found[row])
-                row, at = row + 1, at + n
-            part = batch.slice(done, len(per_text))
-            done += len(per_text)
+        for hashes, _, _ in _slices(_strings(batch.column("text"))):
+            np.add.at(counts, (hashes & _U(CELLS - 1)).astype(np.int64), 1)
+    for place, row in enumerate(counts.reshape(-1, CELL_ROW)):
+        most = row.max()
+        if most:
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("row"), pa.array(nodes, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64()))],
-                ["id", "row", "node", "bands"],
+                [pa.array([place], pa.int32()),
+                 pa.array([row.astype(np.min_scalar_type(most)).tobytes()])],
+                ["place", "counts"],
             )
 
 
-# --- document frequencies --------------------------------------------------------------------
-def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, h): the shingles of each part of the pool; some of a part may come again."""
+def _add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, total, counts): sums of rows that come in the order of their places."""
+
+    def row():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([place], pa.int32()), pa.array([int(held.sum())]), pa.array([held.tobytes()])],
+            ["place", "total", "counts"],
+        )
+
+    place, held = None, np.zeros(CELL_ROW, np.int64)
     for batch in batches:
-        texts, parts = batch.column("text"), batch.column("part").to_numpy()
-        for part in np.unique(parts):
-            own = texts.take(pa.array(np.flatnonzero(parts == part)))
-            for found in _slices(_strings(own)):
-                h = np.unique(found[0]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), part, np.int64)), pa.array(h)], ["part", "h"]
-                )
-
-
-def _shingle_bitmap(wanted: DataFrame) -> np.ndarray:
-    """Bits at the wanted shingles; 16 for each as far as SHINGLE_BITS allows, so 32 MB at most."""
-    low, high = SHINGLE_BITS
-    bits = 1 << min(max((16 * wanted.count()).bit_length(), low), high)
-    place = F.col("h").bitwiseAND(F.lit(bits - 1).cast("long")) + 1
-    rows = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    )
-    table = np.zeros(bits >> 3, np.uint8)
-    for row in rows.toLocalIterator():  # rows of 4 KB
-        at = (row.bucket - 1) << 12
-        table[at : at + 4096] = np.frombuffer(row.bits, np.uint8)
-    return table
+        for at, raw in zip(batch.column("place").to_pylist(), batch.column("counts"), strict=True):
+            if at != place:
+                if place is not None:
+                    yield row()
+                place, held = at, np.zeros(CELL_ROW, np.int64)
+            raw = raw.as_py()
+            held += np.frombuffer(raw, f"<u{len(raw) // CELL_ROW}")
+    if place is not None:
+        yield row()
+
+
+def _full_cells(floor: int):
+    """(place, bits): the cells on which more than ``floor`` shingles fall."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [
+                np.packbits(np.frombuffer(raw.as_py(), "<i8") > floor, bitorder="little").tobytes()
+                for raw in batch.column("counts")
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("place"), pa.array(bits, pa.binary())], ["place", "bits"]
+            )
+
+    return run
 
 
 def _count_shingles(bitmap: np.ndarray):
@@ -280,59 +352,43 @@ def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
-def _put_frequencies(pool: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-    found = found.drop_duplicates("h").sort_values("h")
-    h, n = found["h"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-    df = []
-    for text in pool["text"]:
-        own = shingles([text])[0].view(np.int64)
-        count = np.ones(len(own), np.int64)
-        if len(h):
-            at = np.minimum(np.searchsorted(h, own), len(h) - 1)
-            count = np.where(h[at] == own, n[at], count)
-        df.append(count)
-    return pd.DataFrame({"id": pool["id"], "text": pool["text"], "df": df})
-
-
-def with_frequencies(pool: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pool(id, text)`` with df: for each shingle of a text the number of ``texts`` that hold it.
+def corpus_weights(texts: DataFrame) -> Weights:
+    """TF-IDF weights of the shingles of ``texts(text)``, every text counted.
 
-    Shingles of the pool are counted by their whole hashes over all texts, combined in
-    map tasks. Those of other texts are kept out by a bitmap; where it is full it only
-    spares nothing. Counts return by parts of about GROUP texts, so a shingle that very
-    many texts hold is joined once per part and not once per text.
+    Every task adds its shingles up by ``CELLS`` hashed cells and sends those alone; only
+    shingles on cells with more than the floor are then counted by their whole hashes,
+    combined in map tasks. Bits of cells (512 KB) and fewer than ``FREQUENT`` frequencies
+    reach the driver.
     """
-    parts = F.lit(max(1, -(-pool.count() // GROUP)))
-    pool = stage(
-        pool.withColumn("part", F.pmod(F.xxhash64("id"), parts)).repartition("part"),
-        "pool_parts", "part",
-    )
-    wanted = stage(
-        pool.select("text", "part").mapInArrow(_wanted, "part long, h long"), "wanted"
-    )
-    bitmap = _shingle_bitmap(wanted)
-    counted = texts.select("text").mapInArrow(_count_shingles(bitmap), "h long, n long")
-    counts = stage(
-        counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1"), "frequencies"
-    )
-    found = wanted.join(counts, "h").select("part", "h", "n")
-    put = pool.groupBy("part").cogroup(found.groupBy("part"))
-    return put.applyInPandas(
-        lambda a, b: _put_frequencies(a, b), "id long, text string, df array<long>"
+    texts = texts.select(F.coalesce("text", F.lit("")).alias("text"))
+    added = texts.mapInArrow(_count_cells, "place int, counts binary")
+    cells = stage(
+        added.repartition("place")
+        .sortWithinPartitions("place")
+        .mapInArrow(_add_cells, "place int, total long, counts binary"),
+        "cells",
     )
+    everything = cells.agg(F.sum("total")).first()[0] or 0
+    floor = max(1, everything // FREQUENT)
+    bitmap = np.zeros(CELLS >> 3, np.uint8)
+    full = cells.select("place", "counts").mapInArrow(_full_cells(floor), "place int, bits binary")
+    for row in full.collect():  # at most CELLS / CELL_ROW rows
+        at = row.place * (CELL_ROW >> 3)
+        bitmap[at : at + (CELL_ROW >> 3)] = np.frombuffer(row.bits, np.uint8)
+    counted = texts.mapInArrow(_count_shingles(bitmap), "h long, n long")
+    frequent = counted.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > floor)
+    found = stage(frequent, "frequencies").toPandas()  # fewer than FREQUENT rows
+    hashes = found["h"].to_numpy(np.int64).view(_U)
+    return Weights(texts.count(), floor, hashes, found["n"].to_numpy(np.int64))
 
 
 # --- comparison ------------------------------------------------------------------------------
 def _verify(weights: Weights, least: float):
-    """Links between the texts of side 0 and side 1 of a group that are not joined yet.
-
-    Without a column df every shingle counts as one text's.
-    """
+    """Links between the texts of side 0 and side 1 of a group that are not joined yet."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         hashes, tf, per_text = map(np.concatenate, zip(*_slices(frame["text"]), strict=True))
-        df = np.concatenate(frame["df"].tolist()) if "df" in frame else np.ones(len(tf))
-        w = weights.of(df, tf)
+        w = weights.of(hashes, tf)
         ends = np.cumsum(per_text)
         starts = ends - per_text
         total = np.add.reduceat(w, starts)
@@ -501,6 +557,7 @@ def near_duplicates(
     that are all alike costs as many comparisons as it has texts.
 
     * null text, text without words: a class of its own.
+    * very long text: read whole; its words take about 50 bytes each in a task.
     * repeated rows: in one class; rows that repeat the kept id are all kept.
     * rows that share an id but not the text: each in the class of its own text; classes
       with the same smallest doc_id then share their class_id, but not class_size.
@@ -523,8 +580,10 @@ def near_classes(
         F.coalesce(text_col, F.lit("")).alias("text"),
         row_hash(id_, F.col(text_col)).alias("row"),
     )
+    weights = corpus_weights(texts)
     signed = stage(
-        texts.mapInArrow(_signatures, "id long, row long, node long, bands array<long>"), "signatures"
+        texts.mapInArrow(_signatures(weights), "id long, row long, node long, bands array<long>"),
+        "signatures",
     )
     known = signed.filter("node IS NOT NULL AND id IS NOT NULL")
     distinct = stage(
@@ -551,11 +610,8 @@ def near_classes(
         "candidates",
     )
     found = _with_candidates(texts.select(F.col("row").alias("id"), "text"), candidates)
-    found = stage(
-        found.join(candidates, "id").select(F.col("node").alias("id"), "text"), "candidate_texts"
-    )
-    pool = stage(with_frequencies(found, texts), "pool")
-    check = _verify(corpus_weights(texts), similarity)
+    pool = stage(found.join(candidates, "id").select(F.col("node").alias("id"), "text"), "pool")
+    check = _verify(weights, similarity)
 
     stars = met.groupBy("id").agg(F.min("lead").alias("lead")).filter("id <> lead")
     stars = stars.select(

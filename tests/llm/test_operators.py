@@ -226,9 +226,9 @@ def test_document_frequencies_are_exact(spark):
     texts += [" ".join(shared + prose(910 + i, 15)) for i in range(3)]
     links, frequencies = links_of_all_pairs(texts)
     frame = docs(spark, *texts)
-    pool = frame.select(F.col("doc_id").alias("id"), "text")
-    got = near_dedup.with_frequencies(pool, frame.select("text")).collect()
-    assert {r.id: sorted(r.df) for r in got} == dict(enumerate(frequencies))
+    weights = near_dedup.corpus_weights(frame)
+    got = [sorted(weights.frequencies(near_dedup.shingles([t])[0]).tolist()) for t in texts]
+    assert got == frequencies
     rows = near_dedup.near_duplicates(frame).collect()
     classes = list(range(len(texts)))
     for a, b in sorted(links):
@@ -238,6 +238,55 @@ def test_document_frequencies_are_exact(spark):
     assert {r.class_id for r in rows if r.doc_id >= 375} == {375, 376, 377}
 
 
+def test_rare_shingles_weigh_as_the_floor(spark, monkeypatch):
+    hot = prose(901, 60)
+    texts = [" ".join(prose(i, 60)) for i in range(40)] + [" ".join([*hot, f"copy{i}"]) for i in range(20)]
+    texts += ["", None, "two words"]
+    monkeypatch.setattr(near_dedup, "FREQUENT", 1 << 9)
+    weights = near_dedup.corpus_weights(docs(spark, *texts))
+    _, frequencies = links_of_all_pairs([t for t in texts if t])
+    held = sum(map(len, frequencies)) + 1  # "two words" is one shingle
+    assert weights.floor == held // (1 << 9) > 1
+    assert len(weights.hashes) < 1 << 9
+    for text, want in zip(texts[:60], frequencies, strict=False):
+        found = near_dedup.shingles([text])[0]
+        assert sorted(weights.frequencies(found).tolist()) == [max(n, weights.floor) for n in want]
+        assert ((1 <= weights.of(found, 1)) & (weights.of(found, 1) <= 2)).all()
+
+
+def test_samples_agree_as_often_as_texts_are_alike():
+    a, b = prose(7, 400), prose(8, 400)
+    texts = [" ".join(a), " ".join([*a[:300], *b[300:]])]
+    hashes, tf, per_text = near_dedup.shingles(texts)
+    common = np.intersect1d(hashes[: per_text[0]], hashes[per_text[0] :])[:150]
+    weights = near_dedup.Weights(1000, 1, common, np.full(150, 900))  # half of the shared ones
+    w = weights.of(hashes, tf)
+    n = per_text[0]
+    alike = near_dedup.weighted_jaccard(hashes[:n], w[:n], hashes[n:], w[n:])
+    assert abs(alike - near_dedup.weighted_jaccard(hashes[:n], tf[:n], hashes[n:], tf[n:])) > 0.05
+    found = []
+    for turn in range(40):  # other hashes, other draws
+        moved = near_dedup._mix(hashes + np.uint64(turn))
+        one, two = near_dedup.samples(moved, w.astype(np.float32), per_text)
+        found.append((one == two).mean())
+    assert abs(np.mean(found) - alike) < 0.03
+
+
+def test_a_long_text_is_shingled_in_pieces():
+    import tracemalloc
+
+    words = prose(5, 3000)
+    text = " ".join(words * 900)  # about 20 million signs
+    tracemalloc.start()
+    hashes, tf, per_text = near_dedup.shingles([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(text)
+    assert per_text.tolist() == [len(hashes)] and tf.sum() == 3000 * 900 - 4
+    short = near_dedup.shingles([" ".join(words * 2), "x"])
+    assert np.isin(short[0][: short[2][0]], hashes).all() and len(hashes) == short[2][0]
+
+
 def test_an_id_with_several_texts(spark):
     base = prose(1)
     near, other = " ".join([*base[:60], "new", *base[61:]]), " ".join(prose(2))
