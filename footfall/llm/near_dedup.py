@@ -13,6 +13,7 @@ frequent shingles, at any size of the corpus.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -39,6 +40,8 @@ GROUP = 256
 #: Rounds at most in which mixed buckets with more than LEADER_ABOVE texts outside their
 #: largest component get another leader before blocks are compared.
 LEADER_ROUNDS, LEADER_ABOVE = 2, 8 * GROUP
+#: The side of texts that stand on both sides of a group.
+BOTH = 2
 #: Bits of the table that keeps most texts without a candidate out of the shuffle; 4 MB at any size.
 FILTER_BITS = 1 << 25
 
@@ -181,17 +184,20 @@ def samples(hashes: np.ndarray, weights: np.ndarray, per_text: np.ndarray) -> np
     sizes = per_text[per_text > 0]
     starts = np.cumsum(sizes) - sizes
     out = np.zeros((len(sizes), BANDS * ROWS), np.uint32)
+    low = hashes.astype(np.uint32)
+    packed = np.zeros((len(hashes), 2), "<i4")  # the lesser a first, then the sample's name
     with np.errstate(over="ignore"):
         for k in range(BANDS * ROWS):
-            bits = _mix(hashes + _U((k + 1) * _P & (1 << 64) - 1))
-            r = gamma[bits & _U(0xFFFF)]
-            b = ((bits >> _U(16)) & _U(0xFFFF)).astype(np.float32) * np.float32(1 / 65536)
+            bits = _mix(hashes + _U((k + 1) * _P & (1 << 64) - 1)).view(np.int64)
+            r = gamma.take(bits & 0xFFFF)
+            b = ((bits >> 16) & 0xFFFF).astype(np.float32) * np.float32(1 / 65536)
             t = np.floor(log_w / r + b)
-            log_a = log_gamma[(bits >> _U(32)) & _U(0xFFFF)] - r * (t - b) - r
-            order = log_a.view(np.int32)
-            order = np.where(order < 0, ~order, order | np.int32(-(1 << 31))).view(np.uint32)
-            name = (hashes ^ (t.astype(np.int64).astype(_U) * _U(_P))) & _U(0xFFFFFFFF)
-            out[:, k] = np.minimum.reduceat((order.astype(_U) << _U(32)) | name, starts) & _U(0xFFFFFFFF)
+            log_a = log_gamma.take((bits >> 32) & 0xFFFF) - r * (t - b) - r
+            order = log_a.view(np.int32)  # of floats, as integers
+            packed[:, 1] = order ^ ((order >> 31) & 0x7FFFFFFF)
+            packed[:, 0] = (low ^ (t.astype(np.int32).view(np.uint32) * np.uint32(_P & 0xFFFFFFFF))).view(np.int32)
+            least = np.minimum.reduceat(packed.view("<i8")[:, 0], starts)
+            out[:, k] = least.astype(np.uint32)
     return out
 
 
@@ -236,6 +242,9 @@ def _strings(column: pa.Array) -> Iterator[str]:
     return (text.as_py() for text in column)
 
 
+SIGNED = "id long, row long, node long, mass double, bands array<long>"
+
+
 def _signatures(weights: Weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,25 +259,29 @@ def _signed(batch: pa.RecordBatch, weights: Weights) -> Iterator[pa.RecordBatch]
     done = 0
     for hashes, tf, per_text in _slices(_strings(batch.column("text"))):
         if len(hashes):
-            found = band_keys(samples(hashes, weights.of(hashes, tf).astype(np.float32), per_text))
+            w = weights.of(hashes, tf)
+            found = band_keys(samples(hashes, w.astype(np.float32), per_text))
         nodes: list[int | None] = []
+        masses: list[float | None] = []
         bands: list[np.ndarray | None] = []
         row, at = 0, 0
         for n in per_text.tolist():
             if not n:
                 nodes.append(None)
+                masses.append(None)
                 bands.append(None)
                 continue
             whole = hashes[at : at + n].tobytes() + tf[at : at + n].tobytes()
             nodes.append(xxhash.xxh3_64_intdigest(whole) - (1 << 63))
+            masses.append(w[at : at + n].sum())
             bands.append(found[row])
             row, at = row + 1, at + n
         part = batch.slice(done, len(per_text))
         done += len(per_text)
         yield pa.RecordBatch.from_arrays(
             [part.column("id"), part.column("row"), pa.array(nodes, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64()))],
-            ["id", "row", "node", "bands"],
+             pa.array(masses, pa.float64()), pa.array(bands, pa.list_(pa.int64()))],
+            ["id", "row", "node", "mass", "bands"],
         )
 
 
@@ -384,7 +397,10 @@ def corpus_weights(texts: DataFrame) -> Weights:
 
 # --- comparison ------------------------------------------------------------------------------
 def _verify(weights: Weights, least: float):
-    """Links between the texts of side 0 and side 1 of a group that are not joined yet."""
+    """Links between the texts of side 0 and side 1 of a group that are not joined yet.
+
+    Texts of side ``BOTH`` are compared with each other.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         hashes, tf, per_text = map(np.concatenate, zip(*_slices(frame["text"]), strict=True))
@@ -401,10 +417,13 @@ def _verify(weights: Weights, least: float):
             return x
 
         links = []
-        others = np.flatnonzero(side == 1)
-        for i in np.flatnonzero(side == 0):
+        others = np.flatnonzero(side != 0)
+        for i in np.flatnonzero(side != 1):
             own = root(comp[i])
-            left = [j for j in others.tolist() if root(comp[j]) != own]
+            fits = least * np.maximum(total[others], total[i]) <= np.minimum(total[others], total[i]) * (1 + 1e-9)
+            if side[i] == BOTH:
+                fits &= (others > i) | (side[others] == 1)
+            left = [j for j in others[fits].tolist() if root(comp[j]) != own]
             if not left:
                 continue
             mine, mine_w = hashes[starts[i] : ends[i]], w[starts[i] : ends[i]]
@@ -444,37 +463,67 @@ def _star_links(pairs: DataFrame, pool: DataFrame, check) -> DataFrame:
     return stage(groups.applyInPandas(check, "a long, b long"), "star_links")
 
 
-def _block_links(mixed: DataFrame, pool: DataFrame, check) -> DataFrame:
-    """Links between each text outside its bucket's largest component and all others."""
-    outside, inside = F.ceil(F.col("rest") / GROUP), F.ceil(F.col("n") / GROUP)
+def _block_links(mixed: DataFrame, pool: DataFrame, check, least: float) -> DataFrame:
+    """Links between each text outside its bucket's largest component and all others.
 
-    def every(n):
-        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-
-    def own(n):
-        return F.pmod(F.xxhash64("id"), n)
-
-    few = mixed.filter("comp <> big").select(
-        "band", own(outside).alias("p"), every(inside).alias("q"), "id", "comp",
-        F.lit(0).alias("side"),
+    Two texts can only be alike if the lesser of their masses (sums of weights) is ``least``
+    of the greater at the least, so texts of large buckets are cut into classes of mass, of
+    which only neighbours are compared, and each class into blocks. Two blocks of texts
+    outside the largest component meet once; a block's comparison with itself shares its
+    group with a block of the largest component.
+    """
+    step = max(-math.log(max(least, 1e-9)), 1e-3) * (1 + 1e-6)
+    of_mass = F.floor(F.log("mass") / step).cast("long")
+    marked = mixed.select(
+        "band", "id", "comp", (F.col("comp") != F.col("big")).alias("outside"),
+        F.when(F.col("n") > GROUP, of_mass).otherwise(0).alias("k"),
     )
-    all_ = mixed.select(
-        "band", every(outside).alias("p"), own(inside).alias("q"), "id", "comp",
-        F.lit(1).alias("side"),
+    parts = F.ceil(F.count(F.lit(1)) / GROUP)
+    sizes = stage(marked.groupBy("band", "outside", "k").agg(parts.alias("parts")), "block_sizes")
+    blocks = sizes.withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    ones = blocks.filter("outside").select(
+        "band", F.col("k").alias("k1"), F.col("p").alias("p1"),
+        F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k2"),
+    )
+    others = blocks.select(
+        "band", F.col("outside").alias("outside2"), F.col("k").alias("k2"), F.col("p").alias("p2")
+    )
+    tiles = stage(
+        ones.join(others, ["band", "k2"])
+        .filter("NOT outside2 OR k2 > k1 OR (k2 = k1 AND p2 >= p1)")
+        .withColumn("meet", F.expr("k1 = k2 AND p1 = p2"))
+        .select(
+            "*", F.expr("outside2 AND meet").alias("same"),
+            F.expr("NOT outside2 AND meet").alias("beside"),
+            F.expr("outside2 OR meet").alias("other"),
+        ),
+        "tiles",
     )
-    tiles = few.unionByName(all_).join(pool, "id").groupBy("band", "p", "q")
-    return stage(tiles.applyInPandas(check, "a long, b long"), "block_links")
+    placed = marked.join(sizes, ["band", "outside", "k"]).withColumn(
+        "p", F.pmod(F.xxhash64("id"), F.col("parts"))
+    )
+    tile = ["band", "k1", "p1", "other", "k2", "p2"]
+    first = placed.filter("outside").withColumnsRenamed({"k": "k1", "p": "p1"})
+    first = first.join(tiles.filter("NOT beside"), ["band", "k1", "p1"]).select(
+        *tile, "id", "comp", F.when(F.col("same"), BOTH).otherwise(0).alias("side")
+    )
+    second = placed.withColumnsRenamed({"outside": "outside2", "k": "k2", "p": "p2"})
+    second = second.join(tiles.filter("NOT same"), ["band", "outside2", "k2", "p2"]).select(
+        *tile, "id", "comp", F.lit(1).alias("side")
+    )
+    groups = first.unionByName(second).join(pool, "id").groupBy(*tile)
+    return stage(groups.applyInPandas(check, "a long, b long"), "block_links")
 
 
 def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(band, id, comp, big, n, rest) of the buckets that hold several components.
+    """(band, id, mass, comp, big, n, rest) of the buckets that hold several components.
 
     ``big`` is the component with most texts in the bucket and ``rest`` counts the
     others. Of buckets with the same texts one is kept.
     """
     marked = stage(
         members.join(components(links), "id", "left").select(
-            "band", "id", F.coalesce("component", "id").alias("comp")
+            "band", "id", "mass", F.coalesce("component", "id").alias("comp")
         ),
         "marked",
     )
@@ -582,7 +631,7 @@ def near_classes(
     )
     weights = corpus_weights(texts)
     signed = stage(
-        texts.mapInArrow(_signatures(weights), "id long, row long, node long, bands array<long>"),
+        texts.mapInArrow(_signatures(weights), SIGNED),
         "signatures",
     )
     known = signed.filter("node IS NOT NULL AND id IS NOT NULL")
@@ -593,7 +642,7 @@ def near_classes(
     bands = stage(
         known.join(distinct, ["node", "id", "row"], "left_semi")
         .dropDuplicates(["node", "id", "row"])
-        .select(F.col("node").alias("id"), F.explode("bands").alias("band")),
+        .select(F.col("node").alias("id"), "mass", F.explode("bands").alias("band")),
         "bands",
     )
     buckets = stage(
@@ -618,7 +667,7 @@ def near_classes(
         "lead", F.col("lead").alias("lead_comp"), "id", F.col("id").alias("comp")
     )
     links = _star_links(stars, pool, check)
-    members = met.select("band", "id")
+    members = met.select("band", "id", "mass")
     mixed = _mixed(members, links)
     for _ in range(LEADER_ROUNDS):
         large = mixed.filter(F.col("rest") > LEADER_ABOVE)
@@ -634,7 +683,7 @@ def near_classes(
         )
         links = stage(links.unionByName(_star_links(stars.distinct(), pool, check)), "all_links")
         mixed = _mixed(members, links)
-    links = links.unionByName(_block_links(mixed, pool, check))
+    links = links.unionByName(_block_links(mixed, pool, check, similarity))
     classes = components(links)
     named = stage(
         distinct.join(classes, F.col("node") == classes["id"], "left").select(

@@ -307,15 +307,50 @@ def test_mixed_buckets_are_compared_in_blocks(spark):
     texts = {i: " ".join(prose(i % 3)) for i in range(9)}
     frame = docs(spark, *texts.values())
     weights = near_dedup.corpus_weights(frame)
-    members = spark.createDataFrame([(1, i) for i in range(9)], "band long, id long")
+    members = spark.createDataFrame([(1, i, 200.0) for i in range(9)], "band long, id long, mass double")
     mixed = near_dedup._mixed(members, spark.createDataFrame([(0, 3)], "a long, b long"))
     pool = frame.select(F.col("doc_id").alias("id"), "text")
-    found = near_dedup._block_links(mixed, pool, near_dedup._verify(weights, 0.8))
+    found = near_dedup._block_links(mixed, pool, near_dedup._verify(weights, 0.8), 0.8)
     links = found.union(spark.createDataFrame([(0, 3)], "a long, b long"))
     classes = {r.id: r.component for r in near_dedup.components(links).collect()}
     assert classes == {i: i % 3 for i in range(9)}
 
 
+def test_blocks_and_classes_of_mass_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "GROUP", 4)
+    rng = random.Random(4)
+    base, texts = prose(1, 400), []
+    for i in range(60):  # texts of many lengths that share their first words
+        n = rng.randrange(60, 400)
+        texts.append(" ".join([*base[:n], *prose(100 + i, rng.randrange(0, 40))]))
+    frame = docs(spark, *texts)
+    weights = near_dedup.corpus_weights(frame)
+    found = [near_dedup.shingles([t])[:2] for t in texts]
+    w = [weights.of(h, tf) for h, tf in found]
+    want = {
+        (i, j)
+        for j in range(60)
+        for i in range(j)
+        if near_dedup.weighted_jaccard(found[i][0], w[i], found[j][0], w[j]) >= 0.8
+    }
+    members = spark.createDataFrame(
+        [(1, i, float(w[i].sum())) for i in range(60)], "band long, id long, mass double"
+    )
+    i, j = min(want)
+    known = spark.createDataFrame([(i, j)], "a long, b long")
+    pool = frame.select(F.col("doc_id").alias("id"), "text")
+    mixed = near_dedup._mixed(members, known)
+    links = near_dedup._block_links(mixed, pool, near_dedup._verify(weights, 0.8), 0.8)
+    assert {tuple(sorted(r)) for r in links.collect()} <= want
+    classes = {r.id: r.component for r in near_dedup.components(links.union(known)).collect()}
+    expected = list(range(60))
+    for a, b in sorted(want):
+        low, high = sorted((expected[a], expected[b]))
+        expected = [low if c == high else c for c in expected]
+    assert {i: classes.get(i, i) for i in range(60)} == dict(enumerate(expected))
+    assert 1 < len(set(expected)) < 60
+
+
 # --- vectors ------------------------------------------------------------------------------------
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(4)
