@@ -19,7 +19,6 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +39,8 @@ GROUP = 256
 #: Rounds at most in which mixed buckets with more than LEADER_ABOVE texts outside their
 #: largest component get another leader before blocks are compared.
 LEADER_ROUNDS, LEADER_ABOVE = 2, 8 * GROUP
+#: From so many texts of a group that meet the others, its shingles are numbered once.
+_FEW = 4
 #: The side of texts that stand on both sides of a group.
 BOTH = 2
 #: Bits of the table that keeps most texts without a candidate out of the shuffle; 4 MB at any size.
@@ -73,13 +74,29 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+def _mix_in_place(x: np.ndarray, spare: np.ndarray) -> None:
+    """``_mix`` without new arrays."""
+    for _ in range(2):
+        x ^= np.right_shift(x, _U(32), out=spare)
+        x *= _U(0xD6E8FEB86659FD93)
+    x ^= np.right_shift(x, _U(32), out=spare)
+
+
 def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and first places of the words of UTF-8 bytes that end in a blank."""
-    edges = np.diff(_IS_WORD[data].astype(np.int8), prepend=0)
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    word = _IS_WORD[data]
+    edges = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if len(word) and word[0]:
+        edges = np.concatenate([[0], edges])
+    starts, ends = edges[::2], edges[1::2]
     up, down = _powers(1 << max(16, len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, _U)
+    powers = sums[1:]
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[_U(0)], np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], dtype=_U)])
+        powers[:] = data
+        powers += _U(1)
+        powers *= up[: len(data)]
+        np.cumsum(powers, out=powers)
         return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U)), starts
 
 
@@ -111,30 +128,34 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     else:
         raw = _bytes(texts)
         hashes, starts = _words(np.frombuffer(b"".join(raw), np.uint8))
-        text_of = np.searchsorted(np.cumsum([len(r) for r in raw]), starts, side="right")
-        words = np.bincount(text_of, minlength=len(texts))
-    counts_per_text = np.zeros(len(texts), np.int64)
+        ends = np.searchsorted(starts, np.cumsum([len(r) for r in raw]))
+        words = np.diff(ends, prepend=0)
     if not len(hashes):
-        return np.zeros(0, _U), np.zeros(0, np.int64), counts_per_text
+        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
     first = np.cumsum(words) - words
-    out, tf = [], []
+    runs = np.where(words >= WORDS, words - WORDS + 1, np.minimum(words, 1))
+    found = np.zeros(len(hashes), _U)  # at each word the run that begins there
     with np.errstate(over="ignore"):
         factors = [_U(pow(_P, k + 1, 1 << 64) | 1) for k in range(WORDS)]
-        run = np.zeros(max(0, len(hashes) - WORDS + 1), _U)
+        run = found[: max(0, len(hashes) - WORDS + 1)]
         for k in range(WORDS if len(run) else 0):
             run += hashes[k : k + len(run)] * factors[k]
-        run = _mix(run)
-        for i in np.flatnonzero(words):
+        run[:] = _mix(run)
+        for i in np.flatnonzero((words > 0) & (words < WORDS)):
             n, at = words[i], first[i]
-            if n >= WORDS:
-                found, number = np.unique(run[at : at + n - WORDS + 1], return_counts=True)
-            else:
-                few = (hashes[at : at + n] * np.array(factors[:n], _U)).sum(dtype=_U)
-                found, number = _mix(np.array([few + _U(n)], _U)), np.ones(1, np.int64)
-            out.append(found)
-            tf.append(number)
-            counts_per_text[i] = len(found)
-    return np.concatenate(out), np.concatenate(tf), counts_per_text
+            few = (hashes[at : at + n] * np.array(factors[:n], _U)).sum(dtype=_U)
+            found[at : at + 1] = _mix(np.array([few + _U(n)], _U))
+    place = np.arange(len(found)) - np.repeat(first, words)
+    found = found[place < np.repeat(runs, words)]
+    first = np.cumsum(runs) - runs
+    new = np.ones(len(found), bool)
+    for at, n in zip(first.tolist(), runs.tolist(), strict=True):
+        found[at : at + n].sort()
+    new[1:] = found[1:] != found[:-1]
+    new[first[runs > 0]] = True
+    at = np.flatnonzero(new)
+    per_text = np.diff(np.searchsorted(at, np.append(first, len(found))))
+    return found[at], np.diff(at, append=len(found)), per_text
 
 
 class Weights:
@@ -144,18 +165,44 @@ class Weights:
         order = np.argsort(hashes)
         self.documents, self.floor = max(documents, 2), floor
         self.hashes, self.counts = hashes[order], counts[order]
+        self._likely: np.ndarray | None = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_likely": None}
+
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the frequent shingles among ``hashes``, and where they are in the table.
+
+        Most shingles are rare, and most of those are told by their last bits alone.
+        """
+        if self._likely is None:
+            self._likely = np.zeros(CELLS, bool)
+            self._likely[(self.hashes & _U(CELLS - 1)).view(np.int64)] = True
+        likely = np.flatnonzero(self._likely[(hashes & _U(CELLS - 1)).view(np.int64)])
+        at = np.searchsorted(self.hashes, hashes[likely])
+        at = np.minimum(at, len(self.hashes) - 1)
+        same = self.hashes[at] == hashes[likely]
+        return likely[same], at[same]
 
     def frequencies(self, hashes: np.ndarray) -> np.ndarray:
         """Of each shingle the number of texts that hold it, ``floor`` if that is not more."""
-        if not len(self.hashes):
-            return np.full(len(hashes), self.floor, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.counts[at], self.floor)
+        out = np.full(len(hashes), self.floor, np.int64)
+        if len(self.hashes):
+            places, at = self._known(hashes)
+            out[places] = self.counts[at]
+        return out
 
     def of(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), self._inverse(np.array([self.floor])))
+        if len(self.hashes):
+            places, at = self._known(hashes)
+            out[places] = self._inverse(self.counts[at])
+        return out * tf
+
+    def _inverse(self, frequencies: np.ndarray) -> np.ndarray:
         most = np.log(max(self.documents / self.floor, 2.0))
-        rare = np.maximum(self.documents / self.frequencies(hashes), 1.0)
-        return (1 + np.minimum(np.log(rare) / most, 1.0)) * tf
+        rare = np.maximum(self.documents / frequencies, 1.0)
+        return 1 + np.minimum(np.log(rare) / most, 1.0)
 
 
 # --- consistent weighted sampling ----------------------------------------------------------
@@ -186,16 +233,34 @@ def samples(hashes: np.ndarray, weights: np.ndarray, per_text: np.ndarray) -> np
     out = np.zeros((len(sizes), BANDS * ROWS), np.uint32)
     low = hashes.astype(np.uint32)
     packed = np.zeros((len(hashes), 2), "<i4")  # the lesser a first, then the sample's name
+    bits, part = np.empty(len(hashes), _U), np.empty(len(hashes), _U)  # used again and again
+    place, b, t = part.view(np.int64), np.empty_like(log_w), np.empty_like(log_w)
     with np.errstate(over="ignore"):
         for k in range(BANDS * ROWS):
-            bits = _mix(hashes + _U((k + 1) * _P & (1 << 64) - 1)).view(np.int64)
-            r = gamma.take(bits & 0xFFFF)
-            b = ((bits >> 16) & 0xFFFF).astype(np.float32) * np.float32(1 / 65536)
-            t = np.floor(log_w / r + b)
-            log_a = log_gamma.take((bits >> 32) & 0xFFFF) - r * (t - b) - r
+            np.add(hashes, _U((k + 1) * _P & (1 << 64) - 1), out=bits)
+            _mix_in_place(bits, part)
+            np.bitwise_and(bits, _U(0xFFFF), out=part)
+            r = gamma.take(place)
+            np.bitwise_and(np.right_shift(bits, _U(32), out=part), _U(0xFFFF), out=part)
+            log_a = log_gamma.take(place)
+            np.bitwise_and(np.right_shift(bits, _U(16), out=part), _U(0xFFFF), out=part)
+            b[:] = place
+            b *= np.float32(1 / 65536)
+            np.divide(log_w, r, out=t)
+            t += b
+            np.floor(t, out=t)
+            np.subtract(t, b, out=b)
+            b *= r
+            log_a -= b
+            log_a -= r
             order = log_a.view(np.int32)  # of floats, as integers
-            packed[:, 1] = order ^ ((order >> 31) & 0x7FFFFFFF)
-            packed[:, 0] = (low ^ (t.astype(np.int32).view(np.uint32) * np.uint32(_P & 0xFFFFFFFF))).view(np.int32)
+            sign = order >> 31
+            sign &= 0x7FFFFFFF
+            packed[:, 1] = np.bitwise_xor(order, sign, out=sign)
+            name = t.astype(np.int32).view(np.uint32)
+            name *= np.uint32(_P & 0xFFFFFFFF)
+            name ^= low
+            packed[:, 0] = name.view(np.int32)
             least = np.minimum.reduceat(packed.view("<i8")[:, 0], starts)
             out[:, k] = least.astype(np.uint32)
     return out
@@ -291,7 +356,9 @@ def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(CELLS, np.int32)
     for batch in batches:
         for hashes, _, _ in _slices(_strings(batch.column("text"))):
-            np.add.at(counts, (hashes & _U(CELLS - 1)).astype(np.int64), 1)
+            # ones of the counters' own type: add.at has a fast loop for those
+            ones = np.ones(len(hashes), counts.dtype)
+            np.add.at(counts, (hashes & _U(CELLS - 1)).view(np.int64), ones)
     for place, row in enumerate(counts.reshape(-1, CELL_ROW)):
         most = row.max()
         if most:
@@ -344,11 +411,11 @@ def _count_shingles(bitmap: np.ndarray):
     last = _U(8 * len(bitmap) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = np.unpackbits(bitmap, bitorder="little").view(bool)
         for batch in batches:
             held, size = [np.zeros(0, _U)], 0
             for hashes, _, _ in _slices(_strings(batch.column("text"))):
-                at = (hashes & last).astype(np.int64)
-                held.append(hashes[(bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1])
+                held.append(hashes[full[(hashes & last).view(np.int64)]])
                 size += len(held[-1])
                 if size >= _CHUNK:
                     yield _counted(held)
@@ -396,50 +463,107 @@ def corpus_weights(texts: DataFrame) -> Weights:
 
 
 # --- comparison ------------------------------------------------------------------------------
+LINKS = "a long, b long"
+
+
+def _links(groups: DataFrame, keys: list[str], check) -> DataFrame:
+    """What ``check`` finds inside each group of ``groups(*keys, id, comp, side, text)``.
+
+    Groups come one after the other, so that a task takes many small ones at once. Keys
+    with the same hash would only have more texts compared.
+    """
+    rows = groups.select(F.xxhash64(*keys).alias("key"), "id", "comp", "side", "text")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(check, LINKS)
+
+
 def _verify(weights: Weights, least: float):
     """Links between the texts of side 0 and side 1 of a group that are not joined yet.
 
-    Texts of side ``BOTH`` are compared with each other.
+    Texts of side ``BOTH`` are compared with each other. Whole groups are taken, several
+    at once until they make about ``_CHUNK`` signs.
     """
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        hashes, tf, per_text = map(np.concatenate, zip(*_slices(frame["text"]), strict=True))
-        w = weights.of(hashes, tf)
-        ends = np.cumsum(per_text)
-        starts = ends - per_text
-        total = np.add.reduceat(w, starts)
-        side, comp, ids = (frame[c].to_numpy() for c in ("side", "comp", "id"))
-        joined = {c: c for c in comp.tolist()}
-
-        def root(x):
-            while joined[x] != x:
-                joined[x] = x = joined[joined[x]]
-            return x
-
-        links = []
-        others = np.flatnonzero(side != 0)
-        for i in np.flatnonzero(side != 1):
-            own = root(comp[i])
-            fits = least * np.maximum(total[others], total[i]) <= np.minimum(total[others], total[i]) * (1 + 1e-9)
-            if side[i] == BOTH:
-                fits &= (others > i) | (side[others] == 1)
-            left = [j for j in others[fits].tolist() if root(comp[j]) != own]
-            if not left:
-                continue
-            mine, mine_w = hashes[starts[i] : ends[i]], w[starts[i] : ends[i]]
-            at = np.minimum(np.searchsorted(mine, hashes), len(mine) - 1)
-            shared = np.where(mine[at] == hashes, np.minimum(mine_w[at], w), 0.0)
-            common = np.add.reduceat(shared, starts)
-            alike = common >= least * (total + total[i] - common)
-            for j in left:
-                if alike[j] and root(comp[j]) != root(comp[i]):
-                    joined[root(comp[j])] = root(comp[i])
-                    links.append((ids[i], ids[j]))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size, last = 0, None
+        for batch in batches:
+            numbers = (batch.column(c).to_pylist() for c in ("key", "id", "comp", "side"))
+            for row in zip(*numbers, _strings(batch.column("text")), strict=True):
+                if row[0] != last and size >= _CHUNK:
+                    yield _found(held, weights, least)
+                    held, size = [], 0
+                last = row[0]
+                held.append(row)
+                size += len(row[-1])
+        if held:
+            yield _found(held, weights, least)
 
     return run
 
 
+def _found(rows: list[tuple], weights: Weights, least: float) -> pa.RecordBatch:
+    """Links of whole groups: rows of (key, id, comp, side, text) in the order of their keys."""
+    *numbers, texts = zip(*rows, strict=True)
+    key, ids, comp, side = (np.array(n, np.int64) for n in numbers)
+    hashes, tf, per_text = map(np.concatenate, zip(*_slices(texts), strict=True))
+    w = weights.of(hashes, tf)
+    ends = np.cumsum(per_text)
+    links: list[tuple[int, int]] = []
+    edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+    for a, b in zip(edges, edges[1:], strict=False):
+        low, high = ends[a] - per_text[a], ends[b - 1]
+        own = slice(a, b)
+        found = _alike(hashes[low:high], w[low:high], per_text[own], side[own], comp[own], least)
+        links += [(ids[a + i], ids[a + j]) for i, j in found]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())],
+        ["a", "b"],
+    )
+
+
+def _alike(hashes, w, per_text, side, comp, least: float) -> list[tuple[int, int]]:
+    """Pairs of one group's texts that link components not joined yet."""
+    ends = np.cumsum(per_text)
+    starts = ends - per_text
+    total = np.add.reduceat(w, starts)
+    joined = {c: c for c in comp.tolist()}
+
+    def root(x):
+        while joined[x] != x:
+            joined[x] = x = joined[joined[x]]
+        return x
+
+    links = []
+    firsts, others = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    places = table = None
+    for i in firsts.tolist():
+        own = root(comp[i])
+        fits = least * np.maximum(total[others], total[i]) <= np.minimum(total[others], total[i]) * (1 + 1e-9)
+        if side[i] == BOTH:
+            fits &= (others > i) | (side[others] == 1)
+        left = [j for j in others[fits].tolist() if root(comp[j]) != own]
+        if not left:
+            continue
+        mine, mine_w = hashes[starts[i] : ends[i]], w[starts[i] : ends[i]]
+        if len(firsts) < _FEW:
+            at = np.minimum(np.searchsorted(mine, hashes), len(mine) - 1)
+            shared = np.where(mine[at] == hashes, np.minimum(mine_w[at], w), 0.0)
+        else:
+            if places is None:  # numbers of the shingles, and a weight for each
+                names, places = np.unique(hashes, return_inverse=True)
+                table = np.zeros(len(names))
+            table[places[starts[i] : ends[i]]] = mine_w
+            shared = np.minimum(table[places], w)
+            table[places[starts[i] : ends[i]]] = 0.0
+        common = np.add.reduceat(shared, starts)
+        alike = common >= least * (total + total[i] - common)
+        for j in left:
+            if alike[j] and root(comp[j]) != root(comp[i]):
+                joined[root(comp[j])] = root(comp[i])
+                links.append((i, j))
+    return links
+
+
 def _star_links(pairs: DataFrame, pool: DataFrame, check) -> DataFrame:
     """Links among ``pairs(lead, lead_comp, id, comp)``, in groups of a leader and GROUP texts."""
     pairs = stage(pairs, "stars")
@@ -459,8 +583,8 @@ def _star_links(pairs: DataFrame, pool: DataFrame, check) -> DataFrame:
         F.col("lead_comp").alias("comp"),
         F.lit(0).alias("side"),
     )
-    groups = members.unionByName(leads).join(pool, "id").groupBy("lead", "part")
-    return stage(groups.applyInPandas(check, "a long, b long"), "star_links")
+    groups = members.unionByName(leads).join(pool, "id")
+    return stage(_links(groups, ["lead", "part"], check), "star_links")
 
 
 def _block_links(mixed: DataFrame, pool: DataFrame, check, least: float) -> DataFrame:
@@ -511,8 +635,8 @@ def _block_links(mixed: DataFrame, pool: DataFrame, check, least: float) -> Data
     second = second.join(tiles.filter("NOT same"), ["band", "outside2", "k2", "p2"]).select(
         *tile, "id", "comp", F.lit(1).alias("side")
     )
-    groups = first.unionByName(second).join(pool, "id").groupBy(*tile)
-    return stage(groups.applyInPandas(check, "a long, b long"), "block_links")
+    groups = first.unionByName(second).join(pool, "id")
+    return stage(_links(groups, tile, check), "block_links")
 
 
 def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:

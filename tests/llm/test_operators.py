@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -409,6 +410,32 @@ def test_words_score_as_their_most_telling_token():
     assert len(set(toxicity.extreme_values(np.zeros(0), 10))) == 2, "no segment to fit to"
 
 
+def test_many_small_groups_are_compared_at_once(monkeypatch):
+    calls, shingles = [], near_dedup.shingles
+
+    def counted(texts):
+        calls.append(len(texts))
+        return shingles(texts)
+
+    monkeypatch.setattr(near_dedup, "shingles", counted)
+    rows = []
+    for g in range(100):  # a leader, a near copy of it and another text; then three near copies
+        words = prose(g, 60)
+        near, other = " ".join([*words, "end"]), " ".join(prose(500 + g, 60))
+        three = [(g, 0, " ".join(words)), (g, 1, near), (g, 1, other)]
+        if g % 2:
+            three = [(g, near_dedup.BOTH, " ".join([*words, f"w{i}"])) for i in range(3)]
+        rows += [(*row[:2], 10 * g + i, row[2]) for i, row in enumerate(three)]
+    key, side, ids, texts = zip(*rows, strict=True)
+    table = pa.table({"key": key, "id": ids, "comp": ids, "side": pa.array(side, pa.int32()), "text": texts})
+    check = near_dedup._verify(near_dedup.Weights(1000, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0.8)
+    # batches end inside groups
+    found = pa.Table.from_batches(check(iter(table.to_batches(max_chunksize=7)))).to_pylist()
+    want = {(10 * g, 10 * g + i) for g in range(100) for i in ((1, 2) if g % 2 else (1,))}
+    assert {(r["a"], r["b"]) for r in found} == want
+    assert calls == [300], "once per about 2**18 signs, not once per group"
+
+
 def test_toxicity_takes_text_ids_repeated_rows_and_empty_tables(spark):
     texts = [(f"t{i}", " ".join(prose(i, 30) + ["vile"] * (i % 4 == 0))) for i in range(120)]
     df = spark.createDataFrame(texts * 2, "doc_id string, text string")
