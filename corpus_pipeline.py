@@ -17,15 +17,32 @@ from footfall.llm.common import scratch_path, ship_package, table, unused
 ORACLE_SQL = None
 
 
+#: Rows that a stage hands to Python at once: 1 MB of ordinary texts.
+BATCH_ROWS = 500
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Ship the package, and bound the batches that tasks exchange with Python.
+
+    Spark's own 10 000 rows are 20 MB of ordinary texts, which every task holds more than
+    once in the executor's direct memory and in Python. A smaller bound of the session stays.
+    It is the session's, as what a stage returns runs later.
+    """
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier does not call toxic."""
-    ship_package(spark)
+    _prepare(spark)
     return toxicity.clean_rows(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts; of rows that repeat its id, one."""
-    ship_package(spark)
+    _prepare(spark)
     text = F.sha2(F.encode(exact_dedup.normalised(F.col("text")), "UTF-8"), 256)
     k, t = unused(docs, "__kept_id"), unused(docs, "__kept_text")
     kept = exact_dedup.exact_duplicates(docs).filter("kept")
@@ -44,7 +61,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows are told apart by id and text, so another text of a dropped id stays.
     """
-    ship_package(spark)
+    _prepare(spark)
     k, r = unused(docs, "__dropped_id"), unused(docs, "__dropped_row")
     dropped = near_dedup.near_classes(docs).filter("NOT kept")
     dropped = dropped.select(F.col("doc_id").alias(k), F.col("row").alias(r)).distinct()
@@ -57,7 +74,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by id and text.
     """
-    ship_package(spark)
+    _prepare(spark)
     row, times = unused(docs, "__row"), unused(docs, "__times")
     taken_row = unused(docs, "__taken_row")
     id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
@@ -78,7 +95,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of ids and decoded text for every row."""
-    ship_package(spark)
+    _prepare(spark)
     return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

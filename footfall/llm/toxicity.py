@@ -36,7 +36,8 @@ _FOLDS = 4  # a training row is judged by weights that were fitted on the other
 _TAIL = 0.1  # share of the segments of harmless rows that the extreme values are fitted to
 _WORD = re.compile(r"[^\W\d_]+")
 _BEGINNINGS = range(3, 9)  # lengths of word beginnings that are tokens
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 200_000
+_CHUNK = 1 << 18  # signs of training text whose tokens a task holds, about 30 MB of them
 _MINIMA = 16  # of a training row; near copies share half of them
 _UNIT = 1 << 20  # one row's weight; integers add up alike in any order
 
@@ -189,7 +190,7 @@ def fit(
     )
     counted = stage(
         train.mapInArrow(
-            _train_rows, "toxic int, key long, minima array<long>, words array<string>"
+            _train_rows, "toxic int, key long, minima array<long>, tokens array<long>"
         ).withColumn("at", F.monotonically_increasing_id()),
         "toxic_train",
     )
@@ -211,20 +212,23 @@ def fit(
     ]
     counts = (
         counted.join(shares, "at")
-        .select("toxic", "share", "key", F.explode("words").alias("word"))
-        .groupBy("word")
+        .select("toxic", "share", "key", F.explode("tokens").alias("token"))
+        .groupBy("token")
         .agg(*sums)
-        .toArrow()  # the tokens of the bounded sample
+        .mapInArrow(_packed, "raw binary")
+        .collect()  # the tokens of the bounded sample
     )
-    named = np.array([_hash(w.as_py()) for w in counts.column("word")], np.uint64)
+    table = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(r.raw, "<i8") for r in counts]])
+    del counts
+    table = table.reshape(-1, 1 + 2 * _FOLDS)
+    named = table[:, 0].view(np.uint64)
     order = np.argsort(named)
-    bad, every = (
-        np.stack([counts.column(f"{n}{f}").to_numpy()[order] for f in range(_FOLDS)]) / _UNIT
-        for n in ("bad", "all")
-    )
+    bad, every = (part / _UNIT for part in np.split(table[order, 1:].T, 2))
+    named = named[order]
+    del table, order
     if not bad.any() or bad.sum() == every.sum():
         return Model()
-    model = Model(named[order], shrunk_log_odds(bad.sum(axis=0), every.sum(axis=0)))
+    model = Model(named, shrunk_log_odds(bad.sum(axis=0), every.sum(axis=0)))
     others = [
         Model(model.tokens, shrunk_log_odds(bad.sum(axis=0) - bad[f], every.sum(axis=0) - every[f]))
         for f in range(_FOLDS)
@@ -262,20 +266,50 @@ def _key(runs: np.ndarray) -> int:
     return int(runs.min()) - (1 << 63)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns, which are integers, as a few rows of bytes, one row after the other in them."""
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["raw"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(np.stack([c.to_numpy() for c in batch.columns], 1).astype("<i8").tobytes())
+        size += batch.num_rows
+        if size >= _CHUNK >> 2:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
 def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key, minima and hashed tokens of each row; a batch of about ``_CHUNK`` signs of text at a time."""
+
+    def out():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(toxic, pa.int32()), pa.array(keys, pa.int64()),
+             pa.array(minima, pa.list_(pa.int64())), pa.array(tokens, pa.list_(pa.int64()))],
+            ["toxic", "key", "minima", "tokens"],
+        )
+
+    toxic, keys, minima, tokens, size = [], [], [], [], 0
     for batch in batches:
-        keys, minima, words_of = [], [], []
-        for text in batch.column("text").to_pylist():
+        for label, text in zip(batch.column("toxic"), batch.column("text"), strict=True):
+            text = text.as_py()
             words = _WORD.findall(text.lower())
             runs = _runs(words)
+            toxic.append(label.as_py())
             keys.append(_key(runs))
             minima.append(_minima(runs))
-            words_of.append(sorted({t for w in set(words) for t in tokens_of(w)}))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array(keys, pa.int64()),
-             pa.array(minima, pa.list_(pa.int64())), pa.array(words_of, pa.list_(pa.string()))],
-            ["toxic", "key", "minima", "words"],
-        )
+            own = {t for w in set(words) for t in tokens_of(w)}
+            tokens.append(np.sort(np.array([_hash(t) for t in own], np.uint64)).view(np.int64))
+            size += len(text)
+            if size >= _CHUNK:
+                yield out()
+                toxic, keys, minima, tokens, size = [], [], [], [], 0
+    if toxic:
+        yield out()
 
 
 def _minima(hashes: np.ndarray) -> np.ndarray:

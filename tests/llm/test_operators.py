@@ -450,6 +450,18 @@ def test_toxicity_takes_text_ids_repeated_rows_and_empty_tables(spark):
     assert toxicity.score(df.limit(0), model).count() == 0
 
 
+def test_training_rows_leave_in_small_batches():
+    texts = ["", *[" ".join(f"w{i}x{j}" for j in range(9000)) for i in range(12)], "a b"]
+    batch = pa.RecordBatch.from_pydict({"toxic": pa.array([1, 0] * 7, pa.int32()), "text": texts})
+    found = list(toxicity._train_rows(iter([batch, batch.slice(0, 0), batch.slice(0, 1)])))
+    assert [b.num_rows for b in found] == [5, 4, 4, 2], "about 2**18 signs each"
+    rows = pa.Table.from_batches(found).to_pylist()
+    assert [r["toxic"] for r in rows] == [1, 0] * 7 + [1]
+    named = sorted(xxhash.xxh3_64_intdigest(t) for t in "ab")
+    assert [t % (1 << 64) for t in rows[13]["tokens"]] == named and len(rows[1]["tokens"]) == 2
+    assert rows[0]["tokens"] == [] and len({r["key"] for r in rows}) == 3
+
+
 def test_toxicity_learns_and_leaves_clean_rows(spark):
     texts = [" ".join(prose(i, 40) + (["vile"] if i % 4 == 0 else [])) for i in range(400)]
     df = docs(spark, *texts, None, "")
