@@ -8,7 +8,11 @@ from typing import TypeVar
 T = TypeVar("T")
 
 
-def spoilers(items: Sequence[T], spoiled: Callable[[Sequence[T]], bool]) -> list[T]:
+def spoilers(
+    items: Sequence[T],
+    spoiled: Callable[[Sequence[T]], bool],
+    told: Callable[[Sequence[T]], Sequence[T]] = lambda group: (),
+) -> list[T]:
     """Items that make ``spoiled`` true for every group that holds them; the whole group is.
 
     The first spoiler is met by halving a group that is known to hold one, then the rest
@@ -16,6 +20,9 @@ def spoilers(items: Sequence[T], spoiled: Callable[[Sequence[T]], bool]) -> list
     among n items. Where so many are found that trying each item costs less, the rest is
     tried one by one, so there are never more than about 2 n tries. Without any spoiler
     (the group failed for another reason) the result is empty.
+
+    ``told`` gives those of a group that its last failure told of. They are tried alone, then
+    the rest as a whole, before anything is halved: two tries for each spoiler told of.
     """
     found: list[T] = []
     left = list(items)
@@ -24,6 +31,12 @@ def spoilers(items: Sequence[T], spoiled: Callable[[Sequence[T]], bool]) -> list
         depth = max(1, (len(left) - 1).bit_length())
         if found and len(found) * (depth + 1) > len(items):
             return found + [item for item in left if spoiled([item])]
+        if named := [item for item in told(left) if spoiled([item])]:
+            found += named
+            left = [item for item in left if item not in named]
+            if left and not (seen := spoiled(left)):
+                break
+            continue
         suspects, rest = left, []
         while len(suspects) > 1:
             middle = len(suspects) // 2

@@ -5,6 +5,9 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import re
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +29,14 @@ from footfall.sources.batches import (
     read_committed,
     write_part,
 )
-from footfall.sources.lines import exact_path, read_lines, source_key
+from footfall.sources.lines import exact_path, fine_splits, read_lines, source_key
 
 log = logging.getLogger(__name__)
 
 _PARTIALS = """window_start timestamp, source string, name string, event_type string, total double,
     valued long, maximum double, late_rows long, batch string, attempt string"""
 _MARKS = "seen timestamp, batch string, attempt string"
+_CODECS = (".gz", ".gzip", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz")
 ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -42,6 +46,16 @@ def _batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
     return f"{stream}-{batch_id}"
 
 
+def named_files(failure: str, paths: Sequence[str]) -> list[str]:
+    """Those of ``paths`` that the message of a failed job calls unreadable."""
+
+    def plain(path: str) -> str:
+        return re.sub("^[A-Za-z0-9]+:/*", "/", path)
+
+    told = {plain(unquote(p)) for p in re.findall(r"while reading file (\S+?)\.?(?:\s|$)", failure)}
+    return [path for path in paths if plain(path) in told]
+
+
 def arrivals(
     spark: SparkSession, base: str, pattern: str = "*.jsonl", files_per_batch: int = 1000
 ) -> DataFrame:
@@ -72,8 +86,11 @@ def start_ingest(
     """Start the ingest stream.
 
     A batch is ingested as one unit over its files. If that fails, the files that
-    cannot be read are found by halving (about log2 of the number of files reading
-    jobs for each), recorded as failures, and the rest is ingested; a failure that is
+    cannot be read are found: the one that the failure names is read alone, then the
+    others together, and so on; where it names none, by halving (about log2 of the
+    number of files reading jobs for each). They are recorded as failures, and the rest
+    is ingested. A batch with compressed files, which break when they are cut, is read once
+    before it is ingested, so that no line is validated in vain; a failure that is
     not a file's fault stops the stream, which repeats the batch when it is started
     again. Results count when the batch is committed, all at once, and a batch that
     was committed before the stream noted its end is not ingested twice. Only the
@@ -88,10 +105,14 @@ def start_ingest(
         options = {"max_invalid_ratio": max_invalid_ratio, "files": sizes, "failed": failed}
         ingest_lines(read(paths), targets, source, batch, **options)
 
+    failure = ""
+
     def unreadable(paths) -> bool:
+        nonlocal failure
         try:
             read(paths).write.format("noop").mode("overwrite").save()
-        except Exception:
+        except Exception as error:
+            failure = str(error)
             log.warning("cannot read all of %d files", len(paths), exc_info=len(paths) == 1)
             return True
         return False
@@ -101,21 +122,15 @@ def start_ingest(
             source_key(F.col("path"), root).alias("source_key")
         )
 
-    def on_batch(files: DataFrame, batch_id: int) -> None:
-        found = [(row.path, row.length) for row in files.select("path", "length").collect()]
-        if not found:
-            return
-        paths = [path for path, _ in found]
-        batch = _batch_name(spark, checkpoint, batch_id)
-        if is_committed(spark, targets.base, batch):
-            return
-        sizes = spark.createDataFrame(found, "path string, size_bytes long").select(
-            source_key(F.col("path"), root).alias("source_key"), "size_bytes"
-        )
+    def ingest_readable(paths, sizes: DataFrame, batch: str) -> None:
+        nonlocal failure
         try:
+            if any(path.lower().endswith(_CODECS) for path in paths):
+                read(paths).write.format("noop").mode("overwrite").save()
             ingest(paths, sizes, batch)
-        except Exception:
-            failed = spoilers(paths, unreadable)
+        except Exception as error:
+            failure = str(error)
+            failed = spoilers(paths, unreadable, lambda group: named_files(failure, group))
             if not failed:
                 raise
             lost = named(sorted(failed))
@@ -127,6 +142,20 @@ def start_ingest(
                 write_part(lost.withColumn("error", F.lit(True)), attempt, "failures")
                 commit(spark, attempt)
 
+    def on_batch(files: DataFrame, batch_id: int) -> None:
+        found = [(row.path, row.length) for row in files.select("path", "length").collect()]
+        if not found:
+            return
+        paths = [path for path, _ in found]
+        batch = _batch_name(spark, checkpoint, batch_id)
+        if is_committed(spark, targets.base, batch):
+            return
+        sizes = spark.createDataFrame(found, "path string, size_bytes long").select(
+            source_key(F.col("path"), root).alias("source_key"), "size_bytes"
+        )
+        with fine_splits(spark):
+            ingest_readable(paths, sizes, batch)
+
     writer = (
         arrivals(spark, base, pattern, files_per_batch)
         .writeStream.foreachBatch(on_batch)

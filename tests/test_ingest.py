@@ -281,6 +281,48 @@ def test_broken_files_are_found_by_halving():
             assert len(tries) <= 8
 
 
+def test_files_that_a_failure_names_are_not_halved():
+    for bad in (set(), {0}, {7, 8}, {3, 31, 49}, set(range(50))):
+        tries, last = [], [sorted(bad)]
+
+        def spoiled(group, bad=bad, tries=tries, last=last):
+            tries.append(list(group))
+            last[0] = [i for i in group if i in bad]
+            return bool(last[0])
+
+        found = spoilers(range(50), spoiled, lambda group, last=last: [i for i in last[0][:1] if i in group])
+        assert set(found) == bad
+        assert len(tries) <= (2 * len(bad) if 0 < len(bad) < 6 else 101)
+    text = "[FAILED_READ_FILE.NO_HINT] Encountered error while reading file file:///a/x%20y%252F.gz.  SQLSTATE"
+    paths = ["file:/a/x y%2F.gz", "file:/a/x y/.gz", "/a/other.gz"]
+    assert arrivals.named_files(text, paths) == paths[:1] and not arrivals.named_files("lost", paths)
+
+
+def test_no_line_is_validated_before_all_compressed_files_are_read(spark, tmp_path, monkeypatch):
+    lines = "\n".join(json.dumps(x) for x in good(500)).encode()
+    folder = tmp_path / "bucket" / "events" / DAY
+    folder.mkdir(parents=True)
+    for i in range(6):
+        (folder / f"whole {i}.jsonl.gz").write_bytes(gzip.compress(lines))
+    for i in range(2):
+        (folder / f"cut {i}.jsonl.gz").write_bytes(gzip.compress(lines)[:100])
+    tries, ingest, find = [], arrivals.ingest_lines, arrivals.spoilers
+
+    def counted(items, spoiled, *told):
+        return find(items, lambda group: tries.append(len(group)) or spoiled(group), *told)
+
+    monkeypatch.setattr(arrivals, "ingest_lines", lambda *a, **k: tries.append("ingest") or ingest(*a, **k))
+    monkeypatch.setattr(arrivals, "spoilers", counted)
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    start(spark, tmp_path / "bucket", tmp_path / "out", pattern="*.gz")
+    assert tries == [1, 7, 1, 6, "ingest"]
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+    rows = results(tmp_path / "out").summaries(spark).collect()
+    assert sorted(r.records_valid for r in rows) == [500] * 6
+    failed = results(tmp_path / "out").failures(spark).collect()
+    assert sorted(r.source_key[-14:] for r in failed) == ["cut 0.jsonl.gz", "cut 1.jsonl.gz"]
+
+
 METRIC = """source_key string, recorded_at timestamp, name string, value double, unit string,
     event_type string, source string"""
 
