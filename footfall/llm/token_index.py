@@ -33,6 +33,8 @@ SHARD_BYTES, SHARD_DOCS = 1 << 26, 1 << 16
 _KEYS_PER_BUCKET = 4
 _TRIES = 64
 _HEAD = 40
+#: Texts that a task makes Python strings of at once.
+_TEXTS = 500
 
 
 # --- minimal perfect hash --------------------------------------------------------------
@@ -201,8 +203,10 @@ def write_shards(
 
         batch = None
         for batch in batches:
-            names = batch.column("doc_id").to_pylist()
-            for name, ids in zip(names, vocab.encode(batch.column("text").to_pylist()), strict=True):
+            names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            parts = (texts.slice(at, _TEXTS) for at in range(0, len(texts), _TEXTS))
+            found = (ids for part in parts for ids in vocab.encode(part.to_pylist()))
+            for name, ids in zip(names, found, strict=True):
                 base = "null" if name is None else str(name)
                 again = seen.get(base, 0)
                 seen[base] = again + 1

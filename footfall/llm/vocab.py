@@ -9,7 +9,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 800_000
 _CACHED_CHARS = 64
 # Signs that Python splits at but vocabularies do not take for white space.
 _NO_SPACE = "\x1c\x1d\x1e\x1f"
@@ -54,6 +54,28 @@ def byte_signs() -> list[str]:
     return [signs[b] for b in range(256)]
 
 
+class _Ids(dict):
+    """The packed ids of chunks seen lately; others are encoded when they are asked for.
+
+    Of two halves the older one goes when the newer is full, so what texts repeat stays.
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self._encode, self._older = encode, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        packed = self._older.get(chunk)
+        if packed is None:
+            packed = self._encode(chunk)
+        if len(chunk) <= _CACHED_CHARS:
+            if len(self) >= _CACHED_WORDS // 2:
+                self._older = self.copy()
+                self.clear()
+            self[chunk] = packed
+        return packed
+
+
 class Vocabulary:
     """A tokenizer file whose text is split at white space, which it drops.
 
@@ -77,9 +99,8 @@ class Vocabulary:
         probe = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         if probe("It's 12 up.") != [i for w in ("It's", "12", "up.") for i in probe(w)]:
             raise ValueError("the vocabulary must drop white space and split texts there")
-        self._chunks: dict[str, bytes] = {}
-        self._words: dict[str, tuple[int, ...]] = {}
-        self._signs = byte_signs()
+        self._chunks = _Ids(self._chunk)
+        self._signs = dict(enumerate(byte_signs()))
         self._tokenize = self.tokenizer.model.tokenize
 
     @cached_property
@@ -116,40 +137,28 @@ class Vocabulary:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 out.append(struct.pack(f"<{len(ids)}I", *ids))
                 continue
-            parts = text.split()
-            try:
-                out.append(b"".join(map(self._chunks.__getitem__, parts)))
-            except KeyError:
-                out.append(b"".join(map(self._chunk, parts)))
+            out.append(b"".join(map(self._chunks.__getitem__, text.split())))
         return out
 
     def _chunk(self, chunk: str) -> bytes:
-        found = self._chunks.get(chunk)
-        if found is not None:
-            return found
-        if self._spelt_out and _SIMPLE.fullmatch(chunk) and (self.plain or "<|" not in chunk):
-            words = self._words
-            ids: list[int] = []
-            for word in _WORD.findall(chunk.lower()):
-                known = words.get(word)
-                if known is None:
-                    known = tuple(t.id for t in self._tokenize(self.spelt(word)))
-                    if len(word) <= _CACHED_CHARS:
-                        if len(words) >= _CACHED_WORDS:
-                            words.clear()
-                        words[word] = known
-                ids += known
+        if not self._spelt_out:
+            simple = False
+        elif chunk.isascii() and chunk.isalpha():  # one word
+            words, simple = [chunk.lower()], True
+        elif _SIMPLE.fullmatch(chunk) and (self.plain or "<|" not in chunk):
+            words, simple = _WORD.findall(chunk.lower()), True
         else:
+            simple = False
+        if not simple:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(chunk) <= _CACHED_CHARS:
-            if len(self._chunks) >= _CACHED_WORDS:
-                self._chunks.clear()
-            self._chunks[chunk] = packed
-        return packed
+        elif words == [chunk]:
+            ids = [t.id for t in self._tokenize(self.spelt(chunk))]
+        else:  # a word is a chunk of its own
+            return b"".join(map(self._chunks.__getitem__, words))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def spelt(self, word: str) -> str:
-        return word if word.isascii() else "".join(self._signs[b] for b in word.encode())
+        return word if word.isascii() else word.encode().decode("latin-1").translate(self._signs)
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library decodes, special tokens kept."""

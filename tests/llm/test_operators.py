@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from footfall.llm import (
     bpe, chat, exact_dedup, language, mixing, near_dedup, separator_scan, token_index, toxicity,
-    vectors,
+    vectors, vocab,
 )
 from footfall.llm.common import ship_package
 from footfall.llm.vocab import vocabulary
@@ -117,6 +117,19 @@ def test_bpe_equals_the_library(spark, long_chars):
     assert bpe.encode(docs(spark), PATH).count() == 0
 
 
+def test_words_that_texts_repeat_are_tokenized_once(monkeypatch):
+    monkeypatch.setattr(vocab, "_CACHED_WORDS", 100)
+    words = vocab.Vocabulary(PATH)
+    asked, tokenize = [], words._tokenize
+    words._tokenize = lambda word: asked.append(word) or tokenize(word)
+    texts = [f"often, Often often! zqx{i:03d}".replace("0", "y") for i in range(400)]
+    expected = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    found = [np.frombuffer(b, "<u4").tolist() for b in words.encode(texts)]
+    assert found == expected
+    assert asked.count("often") == 1
+    assert len(words._chunks) + len(words._chunks._older) <= 100
+
+
 def test_joined_halves_equal_the_whole_word():
     vocab, rng = vocabulary(PATH), random.Random(5)
     parts = ["the", "ing", "tion", "er", "ou", "an", "st", "q", "zz", "é", "ß"]
