@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -218,14 +219,12 @@ def fit(
         .mapInArrow(_packed, "raw binary")
         .collect()  # the tokens of the bounded sample
     )
-    table = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(r.raw, "<i8") for r in counts]])
+    table = _unpacked([r.raw for r in counts], 1 + 2 * _FOLDS)
     del counts
-    table = table.reshape(-1, 1 + 2 * _FOLDS)
-    named = table[:, 0].view(np.uint64)
-    order = np.argsort(named)
-    bad, every = (part / _UNIT for part in np.split(table[order, 1:].T, 2))
-    named = named[order]
-    del table, order
+    table = table[np.argsort(table[:, 0].view(np.uint64))]
+    named = table[:, 0].copy().view(np.uint64)
+    bad, every = (part / _UNIT for part in np.split(table[:, 1:].T, 2))
+    del table
     if not bad.any() or bad.sum() == every.sum():
         return Model()
     model = Model(named, shrunk_log_odds(bad.sum(axis=0), every.sum(axis=0)))
@@ -267,10 +266,14 @@ def _key(runs: np.ndarray) -> int:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All columns, which are integers, as a few rows of bytes, one row after the other in them."""
+    """All columns, which are integers, as a few rows of bytes, one row after the other in them.
+
+    They are deflated, as most counts are 0 and the driver holds them more than once.
+    """
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["raw"])
+        raw = zlib.compress(b"".join(held), 1)
+        return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["raw"])
 
     held, size = [], 0
     for batch in batches:
@@ -283,6 +286,14 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _unpacked(packed: list[bytes], columns: int) -> np.ndarray:
+    """The rows of what ``_packed`` made; takes the parts off the list as it goes."""
+    raw = bytearray()
+    while packed:
+        raw += zlib.decompress(packed.pop())
+    return np.frombuffer(raw, "<i8").reshape(-1, columns)
+
+
 def _train_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Key, minima and hashed tokens of each row; a batch of about ``_CHUNK`` signs of text at a time."""
 

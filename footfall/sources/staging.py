@@ -4,6 +4,9 @@ A staged frame is written once as Parquet under the shared folder named by
 ``spark.checkpoint.dir``. Later plans read it back with column pruning, survive
 the loss of executors, and join against its true size: Spark broadcasts it only
 below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+
+The files are read by their path and known schema: a table of the catalogue would
+cost the driver a second query for each, whose plan it keeps.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _databases: dict[str, str] = {}
 _local_folders: dict[str, str] = {}
-_scope: ContextVar[list[str] | None] = ContextVar("footfall_staging_scope", default=None)
+_scope: ContextVar[str | None] = ContextVar("footfall_staging_scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,32 +57,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str, sort_by: str | None = None) -> DataFrame:
-    """Write ``df`` as a staged table now and return a frame reading it.
+    """Write ``df`` below the shared folder now and return a frame reading it.
 
     ``sort_by`` clusters rows inside each file so filters on that column skip
     Parquet row groups.
     """
     spark = df.sparkSession
-    table = f"{_database(spark)}.{label}_{uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{_scope.get() or _database(spark)}"
+    path = f"{folder}/{label}_{uuid4().hex}"
     ordered = df.sortWithinPartitions(sort_by) if sort_by else df
-    ordered.write.format("parquet").saveAsTable(table)
-    scope = _scope.get()
-    if scope is not None:
-        scope.append(table)
-    return spark.table(table)
+    ordered.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def staging_scope(spark: SparkSession):
-    """Drop the tables staged inside the block when it ends."""
-    tables: list[str] = []
-    token = _scope.set(tables)
+    """Remove what is staged inside the block when it ends."""
+    own = _new_database(spark)
+    token = _scope.set(own)
     try:
         yield
     finally:
         _scope.reset(token)
-        for table in tables:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"DROP DATABASE IF EXISTS {own} CASCADE")
 
 
 @contextmanager

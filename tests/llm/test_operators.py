@@ -475,6 +475,17 @@ def test_training_rows_leave_in_small_batches():
     assert rows[0]["tokens"] == [] and len({r["key"] for r in rows}) == 3
 
 
+def test_counts_reach_the_driver_deflated():
+    rows = np.zeros((5000, 9), np.int64)
+    rows[:, 0], rows[::7, 3] = np.arange(5000) * 1234567891011 - (1 << 61), 1 << 40
+    names = [f"c{i}" for i in range(9)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names)
+    sent = [r.as_py() for b in toxicity._packed(iter([batch, batch])) for r in b.column("raw")]
+    assert sum(map(len, sent)) < rows.nbytes  # half of what the two batches hold
+    assert (toxicity._unpacked(sent, 9) == np.concatenate([rows, rows])).all()
+    assert toxicity._unpacked([], 9).shape == (0, 9)
+
+
 def test_toxicity_learns_and_leaves_clean_rows(spark):
     texts = [" ".join(prose(i, 40) + (["vile"] if i % 4 == 0 else [])) for i in range(400)]
     df = docs(spark, *texts, None, "")

@@ -131,6 +131,18 @@ def test_shared_folder_follows_the_session(spark):
     assert files and all(folder in f for f in files)
 
 
+def test_staged_frames_are_files_not_tables(spark):
+    """A table of the catalogue costs the driver another query, which it keeps."""
+    rows = spark.createDataFrame([(1, None, [2.5], {"a": 1})], "a int, b string, c array<double>, d map<string, int>")
+    with staging_scope(spark):
+        staged = stage(rows, "rows")
+        folder = Path(staged.inputFiles()[0].removeprefix("file:")).parent
+        assert staged.schema == rows.schema and staged.collect() == rows.collect()
+        assert stage(rows.filter("a > 1"), "none").count() == 0
+        assert not spark.catalog.listTables(folder.parent.name)
+    assert not folder.exists()
+
+
 class Session:
     class conf:
         @staticmethod
