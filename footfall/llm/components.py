@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     Each round hooks every node to its smallest neighbour, follows those pointers
     twice, and contracts the links; a star ends in one round, a chain of n links
     in about log n. Nothing is collected: the driver only learns whether links
-    are left. Every round is a staged table, so lost executors cost one round.
+    are left. Every round is a staged frame, so lost executors cost one round.
     """
     links = stage(links.filter("a <> b").select("a", "b").distinct(), "links")
     ids = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()

@@ -52,7 +52,7 @@ def _new_database(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder, beside the staged tables."""
+    """A new, unused path in the shared folder, beside the staged frames."""
     return f"{shared_folder(spark)}/{_database(spark)}/{label}-{uuid4().hex}"
 
 
