@@ -7,31 +7,22 @@ Parquet. All but the last return the columns they were given.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
-from footfall.llm.common import scratch_path, ship_package, table, unused
+from footfall.llm.common import (
+    SPACE, bound_batches, scratch_path, ship_package, stage, table, unused,
+)
 
 #: The toxicity model, and with it the rows that remain, has no SQL counterpart.
 ORACLE_SQL = None
 
 
-#: Rows that a stage hands to Python at once: 1 MB of ordinary texts.
-BATCH_ROWS = 500
-
-
 def _prepare(spark: SparkSession) -> None:
-    """Ship the package, and bound the batches that tasks exchange with Python.
-
-    Spark's own 10 000 rows are 20 MB of ordinary texts, which every task holds more than
-    once in the executor's direct memory and in Python. A smaller bound of the session stays.
-    It is the session's, as what a stage returns runs later.
-    """
+    """Ship the package, and bound the session's batches, as what a stage returns runs later."""
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    bound_batches(spark)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,25 +63,41 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row as often as the mix takes it; the row at a source's cut is rounded.
 
-    Rows are told apart by id and text.
+    Rows are told apart by id and text. A source takes all its rows for whole epochs and
+    those up to its cut in the order of the mix once more, so rows only need their source's
+    cut, and texts stay where they are.
     """
     _prepare(spark)
     row, times = unused(docs, "__row"), unused(docs, "__times")
-    taken_row = unused(docs, "__taken_row")
     id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     text = F.coalesce("text", F.lit(""))
     keyed = docs.withColumn(row, F.sha2(F.concat(id_, F.lit("\n"), text), 256))
-    taken = (
-        mixing.mix(keyed, id_col=row)
-        .filter("copies > 0")
-        .groupBy(F.col("doc_id").alias(taken_row))
-        .agg(F.max("copies").cast("int").alias(times))
-    )
-    return (
-        keyed.join(taken, F.col(row) == F.col(taken_row))
-        .withColumn(times, F.explode(F.array_repeat(F.lit(1), F.col(times))))
-        .select(*docs.columns)
+    mixed = mixing.mix(keyed, id_col=row).select(
+        "doc_id", "source", "mix_key", "copies", mixing.whole_epochs().alias("epochs")
     )
+    mixed = stage(mixed, "mixed_rows")
+    # rows of several sources that share id and text are all taken as the most taken one
+    shared = mixed.groupBy("doc_id").agg(F.max("copies").alias("n"), *_ends("source"))
+    if shared.filter("NOT least <=> most OR (nulls > 0 AND least IS NOT NULL)").isEmpty():
+        s, e, c = (unused(docs, n) for n in ("__source", "__epochs", "__cut"))
+        cuts = mixed.groupBy(F.col("source").alias(s)).agg(
+            F.max("epochs").alias(e), F.max(F.when(F.expr("copies > epochs"), F.col("mix_key"))).alias(c)
+        )
+        more = F.coalesce(mixing.mix_key(F.col(row)) <= F.col(c), F.lit(False)).cast("int")
+        taken = F.when(text.rlike(f"[^{SPACE}]"), F.col(e) + more).otherwise(0).cast("int")
+        found = keyed.join(stage(cuts, "cuts"), F.col("source").eqNullSafe(F.col(s)))
+    else:
+        k, taken = unused(docs, "__taken_row"), F.col(unused(docs, "__taken"))
+        most = shared.select(F.col("doc_id").alias(k), F.col("n").cast("int").alias(unused(docs, "__taken")))
+        found = keyed.join(most, F.col(row) == F.col(k))
+    return found.withColumn(times, F.explode(F.array_repeat(F.lit(1), taken))).select(*docs.columns)
+
+
+def _ends(name: str) -> list[Column]:
+    return [
+        F.min(name).alias("least"), F.max(name).alias("most"),
+        F.count_if(F.col(name).isNull()).alias("nulls"),
+    ]
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 from uuid import uuid4
 
@@ -17,6 +18,10 @@ from footfall.sources.staging import scratch_path, stage
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Rows that tasks exchange with Python at once where texts are read: 1 MB of ordinary texts.
+BATCH_ROWS = 500
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _shipped: set[str] = set()
 
 
@@ -34,6 +39,27 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches that tasks exchange with Python to ``BATCH_ROWS``.
+
+    Spark's own 10 000 rows are 20 MB of ordinary texts, which every task holds more than
+    once in the executor's direct memory and in Python. A smaller bound of the session stays.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_KEY)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """``bound_batches`` for what runs inside the block."""
+    before = spark.conf.get(_BATCH_KEY)
+    bound_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_KEY, before)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -99,6 +125,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 __all__ = [
-    "SPACE", "folder_uri", "new_folder", "running_sums", "scratch_path", "ship_package", "stage",
-    "table", "unused",
+    "BATCH_ROWS", "SPACE", "bound_batches", "folder_uri", "new_folder", "running_sums",
+    "scratch_path", "ship_package", "small_batches", "stage", "table", "unused",
 ]

@@ -25,6 +25,17 @@ def word_count(text):
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
 
 
+def mix_key(id_, seed: str = SEED):
+    """The hash of seed and id by which a source's documents are ordered."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_.cast("string"), F.lit("-"))))
+
+
+def whole_epochs():
+    """How often a source's target holds all its words, from its columns."""
+    epochs = F.floor(F.floor("target") / F.col("source_size"))
+    return F.when(F.col("source_size") > 0, epochs).otherwise(0)
+
+
 def source_targets(
     sizes: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -103,13 +114,12 @@ def mix(
     * no words at all, or an empty table: every target is 0, or there are no rows.
     * other columns are ignored, whatever their names.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("-"))))
     rows = stage(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
-            key.alias("mix_key"),
+            mix_key(F.col(id_col), seed).alias("mix_key"),
         ),
         "sizes",
     )
@@ -143,13 +153,12 @@ def mix(
         totals, F.col("source").eqNullSafe(F.col("s")) & (F.col("r") == F.col("tr"))
     )
     budget = F.floor("target")
-    epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     left = F.col("budget") - F.col("epochs") * F.col("source_size") - F.col("at") - F.col("shift")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left))
     whole = ((F.col("size") > 0) & (F.col("part") * 2 >= F.col("size"))).cast("long")
     return (
         placed.withColumn("budget", budget)
-        .withColumn("epochs", epochs)
+        .withColumn("epochs", whole_epochs())
         .withColumn("part", part)
         .select(
             "doc_id",

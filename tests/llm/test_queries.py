@@ -6,9 +6,10 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from footfall.llm import queries
+from footfall.llm import mixing, queries
 from tools.check import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -77,6 +78,40 @@ def test_mixing_stage_tells_rows_apart_by_id_and_text(spark):
     assert corpus_pipeline.mix_sources(spark, docs.limit(0), FOLDER).count() == 0
 
 
+def test_mixing_stage_leaves_texts_where_they_are(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("w "), F.repeat(F.lit("x "), (F.col("id") % 9).cast("int"))).alias("text"),
+        F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string")).alias("source"),
+    )
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        out = corpus_pipeline.mix_sources(spark, docs, FOLDER)
+        assert out.count() > 4000
+        assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_mixing_stage_takes_what_the_mix_says(spark):
+    rows = [(i, "x " * (i % 9), [None, "a", "b", "c"][i * i % 4]) for i in range(200)]
+    rows += rows[:20]  # twice in a source: both as often as the one taken more
+    shared = [(i, "x " * (i % 9), "d") for i in range(30, 60)]
+    for given in (rows, rows + shared):  # in two sources: both as the one taken more
+        docs = spark.createDataFrame(given, "doc_id long, text string, source string")
+        hashed = docs.withColumn("row", F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit("\n"), "text"), 256))
+        most: Counter = Counter()
+        for r in mixing.mix(hashed, id_col="row").collect():
+            most[r.doc_id] = max(most[r.doc_id], r.copies)
+        want: Counter = Counter()
+        for r in hashed.collect():
+            want[r.doc_id, r.text, r.source] += most[r.row]
+        out = corpus_pipeline.mix_sources(spark, docs, FOLDER).collect()
+        assert Counter(tuple(r) for r in out) == +want
+
+
 def test_stages_take_columns_of_any_name(spark):
     rows = [(i, "one two three four five six " + "word " * (i % 4), "a", "b", 1, 2, 3, 4) for i in range(12)]
     docs = spark.createDataFrame(
