@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import stage
+from footfall.llm.common import small_batches, stage
 from footfall.llm.components import components
 
 SIMILARITY = 0.8
@@ -746,7 +746,15 @@ def near_classes(
     text_col: str = "text",
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """``near_duplicates`` with the ``row_hash`` of each row in a column ``row``."""
+    """``near_duplicates`` with the ``row_hash`` of each row in a column ``row``.
+
+    What hands texts to Python is staged, so its small batches end with the call.
+    """
+    with small_batches(docs.sparkSession):
+        return _classes(docs, id_col, text_col, similarity)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     id_ = F.col(id_col).cast("long")
     texts = docs.select(
         id_.alias("id"),

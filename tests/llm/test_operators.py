@@ -18,7 +18,7 @@ from footfall.llm import (
     bpe, chat, exact_dedup, language, mixing, near_dedup, separator_scan, token_index, toxicity,
     vectors, vocab,
 )
-from footfall.llm.common import ship_package
+from footfall.llm.common import BATCH_ROWS, ship_package
 from footfall.llm.vocab import vocabulary
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -206,6 +206,26 @@ def test_near_copies(spark):
     assert near_dedup.near_duplicates(docs(spark)).count() == 0
 
 
+def test_near_copies_hand_small_batches_to_python(spark, monkeypatch):
+    key, most = "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS
+    before, real = spark.conf.get(key), near_dedup._count_cells
+
+    def bounded(batches):
+        def checked():
+            for batch in batches:
+                assert batch.num_rows <= most
+                yield batch
+
+        return real(checked())
+
+    monkeypatch.setattr(near_dedup, "_count_cells", bounded)
+    frame = spark.range(2 * most + 10, numPartitions=1).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("one text "), F.col("id") % 7).alias("text")
+    )
+    assert near_dedup.near_duplicates(frame).filter("kept").count() == 7
+    assert spark.conf.get(key) == before
+
+
 def five_word_runs(text):
     words = text.lower().split()
     return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
